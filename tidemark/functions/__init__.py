@@ -4,6 +4,7 @@ from tidemark.functions.expressions import (
     column,
     is_lossy,
     past_marks,
+    quoted,
     same_name,
     spread_nulls,
     typed_null,
@@ -14,6 +15,7 @@ __all__ = [
     "column",
     "is_lossy",
     "past_marks",
+    "quoted",
     "same_name",
     "spread_nulls",
     "typed_null",

@@ -1,4 +1,8 @@
-"""Built-in-only column expressions; none of them leaves the JVM."""
+"""Built-in-only expressions; none of them leaves the JVM.
+
+Wide projections are given to Spark as SQL text: one call per column instead of one per operation, which
+keeps the time to build a plan short.
+"""
 
 from __future__ import annotations
 
@@ -11,33 +15,35 @@ from pyspark.sql.types import DataType, TimestampNTZType
 SECONDS_PER_DAY = 86400
 
 
+def quoted(name: str) -> str:
+    """A name as SQL text, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def column(name: str) -> Column:
-    """Column by its exact name, whatever characters the name holds."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """Column by its exact name."""
+    return F.col(quoted(name))
 
 
 def typed_null(data_type: DataType | str) -> Column:
     return F.lit(None).cast(data_type)
 
 
-def utc_date(df: DataFrame, name: str) -> Column:
+def utc_date(df: DataFrame, name: str) -> str:
     """UTC calendar day of a timestamp column, independent of the session time zone."""
-    ts = column(name)
     if isinstance(df.schema[name].dataType, TimestampNTZType):
-        return F.to_date(ts)
-    return F.date_from_unix_date(F.floor(F.unix_seconds(ts) / SECONDS_PER_DAY).cast("int"))
+        return f"to_date({quoted(name)})"
+    return f"date_from_unix_date(cast(floor(unix_seconds({quoted(name)}) / {SECONDS_PER_DAY}) as int))"
 
 
-def spread_nulls(keys: Sequence[str], by: Sequence[str]) -> Column:
+def spread_nulls(keys: Sequence[str], by: Sequence[str]) -> str:
     """0 for a complete key, a hash of ``by`` when a key part is null.
 
     A null key matches nothing, yet an outer join still ships all null-key rows to one task. Joining on
     this expression as well sends them to many tasks and changes no match.
     """
-    incomplete = F.lit(False)
-    for key in keys:
-        incomplete = incomplete | column(key).isNull()
-    return F.when(incomplete, F.xxhash64(*[column(c) for c in by])).otherwise(F.lit(0).cast("bigint"))
+    incomplete = " or ".join(f"{quoted(k)} is null" for k in keys)
+    return f"case when {incomplete} then xxhash64({', '.join(map(quoted, by))}) else 0L end"
 
 
 def is_lossy(name: str, target: DataType) -> Column:

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
-from tidemark.functions import column, spread_nulls, typed_null
+from tidemark.functions import column, quoted, spread_nulls, typed_null
 
 _SPREAD = "__spread"
 _LOOKUP_SPREAD = "__lookup_spread"
@@ -31,15 +30,16 @@ def left_lookup(
     without a key by ``spread_by``, and makes both join inputs fresh exchanges, which is the shape in
     which adaptive execution splits the tasks of a hot key.
     """
-    right = lookup.select(
-        *[column(key).alias(_LOOKUP + key) for key in on.values()],
-        spread_nulls(list(on.values()), list(on.values())).alias(_LOOKUP_SPREAD),
-        *[column(name).alias(new) for name, new in take.items()],
+    right = lookup.selectExpr(
+        *[f"{quoted(key)} as {quoted(_LOOKUP + key)}" for key in on.values()],
+        f"{spread_nulls(list(on.values()), list(on.values()))} as {_LOOKUP_SPREAD}",
+        *[f"{quoted(name)} as {quoted(new)}" for name, new in take.items()],
     )
-    left = rows.withColumn(_SPREAD, spread_nulls(list(on), spread_by))
-    match = [column(row_key) == column(_LOOKUP + key) for row_key, key in on.items()]
-    match.append(column(_SPREAD) == column(_LOOKUP_SPREAD))
-    return left.join(right, match, "left").select(*[column(c) for c in rows.columns], *[column(c) for c in take.values()])
+    left = rows.selectExpr("*", f"{spread_nulls(list(on), spread_by)} as {_SPREAD}")
+    match = [f"{quoted(row_key)} = {quoted(_LOOKUP + key)}" for row_key, key in on.items()]
+    match.append(f"{_SPREAD} = {_LOOKUP_SPREAD}")
+    joined = left.join(right, F.expr(" and ".join(match)), "left")
+    return joined.drop(_SPREAD, _LOOKUP_SPREAD, *[_LOOKUP + key for key in on.values()])
 
 
 def enrich_transactions(transactions: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -62,20 +62,20 @@ def merge_upsert(main: DataFrame, update: DataFrame, keys: Sequence[str]) -> Dat
     """
     keys = list(keys)
     shared = [c for c in main.columns if c in update.columns]
-    changes = update.select(*[column(c).alias(_UPDATE + c) for c in shared])
     hashable = [f.name for f in main.schema if not isinstance(f.dataType, MapType)]
-    main_spread = main.withColumn(_SPREAD, spread_nulls(keys, hashable))
-    changes_spread = changes.withColumn(
-        _LOOKUP_SPREAD, spread_nulls([_UPDATE + k for k in keys], [_UPDATE + k for k in keys])
-    )
-    match = _all([column(k) == column(_UPDATE + k) for k in keys])
-    merged = main_spread.join(
-        changes_spread, match & (column(_SPREAD) == column(_LOOKUP_SPREAD)), "left"
-    ).select(
-        *[
-            (F.coalesce(column(_UPDATE + c), column(c)) if c in shared else column(c)).alias(c)
-            for c in main.columns
-        ]
+    changed_keys = [_UPDATE + k for k in keys]
+    changes = update.selectExpr(*[f"{quoted(c)} as {quoted(_UPDATE + c)}" for c in shared])
+    changes = changes.selectExpr("*", f"{spread_nulls(changed_keys, changed_keys)} as {_LOOKUP_SPREAD}")
+    match = [f"{quoted(k)} = {quoted(_UPDATE + k)}" for k in keys] + [f"{_SPREAD} = {_LOOKUP_SPREAD}"]
+    merged = (
+        main.selectExpr("*", f"{spread_nulls(keys, hashable)} as {_SPREAD}")
+        .join(changes, F.expr(" and ".join(match)), "left")
+        .selectExpr(
+            *[
+                f"coalesce({quoted(_UPDATE + c)}, {quoted(c)}) as {quoted(c)}" if c in shared else quoted(c)
+                for c in main.columns
+            ]
+        )
     )
     added = _without_match(main, update, keys).select(
         *[
@@ -92,10 +92,7 @@ def _without_match(main: DataFrame, update: DataFrame, keys: Sequence[str]) -> D
     The keys present in both are found first, one row each, so a key repeated in ``main`` weighs no more
     than any other and a small update is compared with ``main`` without a shuffle.
     """
-    wanted = update.select(*[column(k) for k in keys]).distinct()
-    found = main.select(*[column(k) for k in keys]).join(wanted, list(keys), "left_semi").distinct()
+    names = [quoted(k) for k in keys]
+    wanted = update.selectExpr(*names).distinct()
+    found = main.selectExpr(*names).join(wanted, list(keys), "left_semi").distinct()
     return update.join(found, list(keys), "left_anti")
-
-
-def _all(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)

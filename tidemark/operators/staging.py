@@ -8,7 +8,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import column
+from tidemark import schemas
+from tidemark.functions import quoted
 from tidemark.schemas import METADATA_COLUMNS, TIMESTAMP, Entity
 
 
@@ -34,15 +35,14 @@ def stage(raw: DataFrame, entity: Entity, timestamp_type: str = "timestamp") ->
     Under ANSI mode, Spark's default, text that cannot be cast fails the query; ``quarantine`` has the
     tolerant form. ``timestamp_type`` may be ``timestamp_ntz`` for logs without zones.
     """
-    return raw.select(*[_staged(c, timestamp_type) for c in entity.columns])
+    return raw.selectExpr(*[_staged(c, timestamp_type) for c in entity.columns])
 
 
 def cast_of(declared: str, timestamp_type: str) -> str:
     return timestamp_type if declared == TIMESTAMP else declared
 
 
-def _staged(c, timestamp_type: str) -> Column:
-    value = column(c.raw)
-    if c.cast:
-        value = value.cast(cast_of(c.cast, timestamp_type))
-    return value.alias(c.staged)
+def _staged(declared: schemas.Column, timestamp_type: str) -> str:
+    raw = quoted(declared.raw)
+    value = f"cast({raw} as {cast_of(declared.cast, timestamp_type)})" if declared.cast else raw
+    return f"{value} as {quoted(declared.staged)}"

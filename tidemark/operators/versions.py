@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from tidemark.functions import column
+from tidemark.functions import quoted
 from tidemark.schemas import DELETED_AT, EXTRACTED_AT, LSN, RAW_ID, UPDATED_AT, Entity
 
 #: newest first: log position, then extraction time; the raw id settles exact ties
@@ -18,7 +17,7 @@ _RANK = "__version_rank"
 
 def live_rows(df: DataFrame, deleted_at: str = DELETED_AT) -> DataFrame:
     """Rows that are not tombstones."""
-    return df.where(column(deleted_at).isNull())
+    return df.where(f"{quoted(deleted_at)} is null")
 
 
 def latest_by_key(
@@ -39,9 +38,11 @@ def latest_by_key(
     if tombstones not in ("filter_first", "rank_first", None):
         raise ValueError(f"unknown tombstone policy {tombstones!r}")
     keys = [keys] if isinstance(keys, str) else list(keys)
-    newest_first = Window.partitionBy(*[column(k) for k in keys]).orderBy(*[column(c).desc() for c in order])
+    partition = ", ".join(map(quoted, keys))
+    newest_first = ", ".join(f"{quoted(c)} desc" for c in order)
     source = live_rows(df) if tombstones == "filter_first" else df
-    latest = source.withColumn(_RANK, F.row_number().over(newest_first)).where(column(_RANK) == 1).drop(_RANK)
+    ranked = source.selectExpr("*", f"row_number() over (partition by {partition} order by {newest_first}) as {_RANK}")
+    latest = ranked.where(f"{_RANK} = 1").drop(_RANK)
     return live_rows(latest) if tombstones == "rank_first" else latest
 
 
@@ -51,8 +52,8 @@ def current_rows(staged: DataFrame, entity: Entity, tombstones: str = "filter_fi
 
 
 def project_current(latest: DataFrame, entity: Entity) -> DataFrame:
-    return latest.select(
-        *[column(name) for name in entity.current],
-        column(UPDATED_AT).alias("last_updated_at"),
-        column(EXTRACTED_AT).alias("ingested_at"),
+    return latest.selectExpr(
+        *map(quoted, entity.current),
+        f"{UPDATED_AT} as last_updated_at",
+        f"{EXTRACTED_AT} as ingested_at",
     )

@@ -35,7 +35,8 @@ def fct_audit(staged_audit: DataFrame) -> DataFrame:
 
 
 def audit_facts(current: DataFrame) -> DataFrame:
-    return current.withColumn(AUDIT_DAY, utc_date(current, "event_timestamp")).select(*FCT_AUDIT_COLUMNS)
+    day = f"{utc_date(current, 'event_timestamp')} as {AUDIT_DAY}"
+    return current.selectExpr("*", day).selectExpr(*FCT_AUDIT_COLUMNS)
 
 
 def fct_transactions(staged_transactions: DataFrame, staged_accounts: DataFrame) -> DataFrame:
@@ -45,9 +46,8 @@ def fct_transactions(staged_transactions: DataFrame, staged_accounts: DataFrame)
 
 def transaction_facts(current: DataFrame, accounts: DataFrame) -> DataFrame:
     enriched = enrich_transactions(current, accounts)
-    return enriched.withColumn(TRANSACTION_DAY, utc_date(enriched, "transaction_timestamp")).select(
-        *FCT_TRANSACTIONS_COLUMNS
-    )
+    day = f"{utc_date(enriched, 'transaction_timestamp')} as {TRANSACTION_DAY}"
+    return enriched.selectExpr("*", day).selectExpr(*FCT_TRANSACTIONS_COLUMNS)
 
 
 def fct_transactions_increment(

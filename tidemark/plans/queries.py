@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from tidemark.functions import column
+from tidemark.functions import quoted
 from tidemark.operators import quality
 from tidemark.operators.joins import enrich_transactions, merge_upsert as merge_frames
 from tidemark.operators.marks import Marks, high_water_mark as marks_of, incremental_rows
@@ -41,12 +41,8 @@ HELD_BACK = 5
 
 
 def _portable(df: DataFrame) -> DataFrame:
-    return df.select(
-        *[
-            column(f.name).cast("double").alias(f.name) if isinstance(f.dataType, DecimalType) else column(f.name)
-            for f in df.schema
-        ]
-    )
+    decimals = {f.name for f in df.schema if isinstance(f.dataType, DecimalType)}
+    return df.selectExpr(*[f"cast({quoted(c)} as double) as {quoted(c)}" if c in decimals else quoted(c) for c in df.columns])
 
 
 def _ntz(value: str):
@@ -61,12 +57,12 @@ def _staged(spark: SparkSession, sf_dir: str, entity: Entity) -> DataFrame:
     return stage(_raw(spark, sf_dir, entity), entity, "timestamp_ntz")
 
 
-def _first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The transaction fact as an earlier run left it."""
+def _first_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current transactions as an earlier run saw them."""
     seen = _staged(spark, sf_dir, TRANSACTIONS).where(
         (F.col("_airbyte_extracted_at") <= _ntz(FIRST_LOAD_UNTIL)) & (F.col("transaction_id") % HELD_BACK != 0)
     )
-    return marts.fct_transactions(seen, _staged(spark, sf_dir, ACCOUNTS))
+    return current_rows(seen, TRANSACTIONS)
 
 
 def _marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -214,7 +210,7 @@ def resolve_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def high_water_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marks_of(_first_load(spark, sf_dir))
+    return marks_of(_first_current(spark, sf_dir))
 
 
 def incremental_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,7 +222,8 @@ def incremental_delta_full_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _increment(spark: SparkSession, sf_dir: str, touched_only: bool) -> DataFrame:
-    marks = Marks.deferred(_first_load(spark, sf_dir))
+    # The owner lookups of the fact leave its clocks as they are, so the marks need no joins.
+    marks = Marks.deferred(_first_current(spark, sf_dir))
     return _portable(
         marts.fct_transactions_increment(
             _staged(spark, sf_dir, TRANSACTIONS), _staged(spark, sf_dir, ACCOUNTS), marks, touched_only
@@ -235,12 +232,14 @@ def _increment(spark: SparkSession, sf_dir: str, touched_only: bool) -> DataFram
 
 
 def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact after a second run: the first load with the increment in place of its keys."""
-    first = _first_load(spark, sf_dir)
-    delta = marts.fct_transactions_increment(
-        _staged(spark, sf_dir, TRANSACTIONS), _staged(spark, sf_dir, ACCOUNTS), Marks.deferred(first)
-    )
-    return _portable(upsert_frame(first, delta, TRANSACTIONS.key))
+    """The fact after a second run: a stored first load with the stored increment in place of its keys."""
+    path = new_run(spark, "fct_transactions")
+    accounts = _staged(spark, sf_dir, ACCOUNTS)
+    first = marts.transaction_facts(_first_current(spark, sf_dir), marts.dim_accounts(accounts))
+    stored = read_parquet(spark, overwrite_path(first, f"{path}/target"), schema=first.schema)
+    delta = marts.fct_transactions_increment(_staged(spark, sf_dir, TRANSACTIONS), accounts, Marks.fetched(stored))
+    staged_delta = read_parquet(spark, overwrite_path(delta, f"{path}/delta"), schema=delta.schema)
+    return _portable(upsert_frame(stored, staged_delta, TRANSACTIONS.key))
 
 
 def _first_audit(spark: SparkSession, sf_dir: str) -> DataFrame:

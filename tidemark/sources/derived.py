@@ -6,7 +6,7 @@ so a log is as distributed as the table it comes from and adds no shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.schemas import ENTITIES
@@ -18,87 +18,72 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
-def _text(value: Column) -> Column:
-    return value.cast("string")
+def _use_all_cores(rows: DataFrame, key: str) -> DataFrame:
+    """Spread a table that scans in fewer tasks than there are cores, such as one small file.
 
-
-def _day(start: str) -> Column:
-    """``start`` moved on by one day per version."""
-    return F.lit(start).cast("timestamp_ntz") + F.expr("make_dt_interval(ver)")
+    Larger tables, which is what matters at scale, keep their scan tasks and are not shuffled.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)
 
 
 def _versions(rows: DataFrame, key: str) -> DataFrame:
-    return rows.withColumn("k", F.col(key)).withColumn(
-        "ver", F.explode(F.sequence(F.lit(0), (F.col("k") % 3).cast("int")))
-    )
+    keyed = _use_all_cores(rows, key).selectExpr("*", f"{key} as k")
+    return keyed.selectExpr("*", "explode(sequence(0, cast(k % 3 as int))) as ver")
 
 
-def _log(rows: DataFrame, prefix: str, business: dict[str, Column]) -> DataFrame:
-    deleted = (F.col("k") % 11 == 0) & (F.col("ver") == F.col("k") % 3)
+def _log(rows: DataFrame, prefix: str, **business: str) -> DataFrame:
     change = {
-        "_ab_cdc_lsn": _text(1000 + F.col("k") * 10 + F.col("ver")),
-        "_ab_cdc_deleted_at": F.when(deleted, F.lit("2024-06-01 00:00:00").cast("timestamp_ntz")),
-        "_ab_cdc_updated_at": _day("2024-01-01 00:00:00"),
-        "_airbyte_raw_id": F.concat_ws("-", F.lit(prefix), _text(F.col("k")), _text(F.col("ver"))),
-        "_airbyte_extracted_at": _day("2024-02-01 00:00:00"),
-        "_airbyte_meta": F.lit("{}"),
-        "_airbyte_generation_id": F.lit(1).cast("bigint"),
+        "_ab_cdc_lsn": "cast(1000 + k * 10 + ver as string)",
+        "_ab_cdc_deleted_at": "case when k % 11 = 0 and ver = k % 3 then timestamp_ntz'2024-06-01 00:00:00' end",
+        "_ab_cdc_updated_at": "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(ver)",
+        "_airbyte_raw_id": f"concat('{prefix}-', k, '-', ver)",
+        "_airbyte_extracted_at": "timestamp_ntz'2024-02-01 00:00:00' + make_dt_interval(ver)",
+        "_airbyte_meta": "'{}'",
+        "_airbyte_generation_id": "1L",
     }
-    return rows.select(*[value.alias(name) for name, value in (business | change).items()])
+    return rows.selectExpr(*[f"{value} as `{name}`" for name, value in (business | change).items()])
 
 
 def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    customer = _table(spark, sf_dir, "customer")
-    named = customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left")
+    customer = _versions(_table(spark, sf_dir, "customer"), "c_custkey")
     return _log(
-        _versions(named, "c_custkey"),
+        customer.join(nation, F.expr("c_nationkey = n_nationkey"), "left"),
         "u",
-        {
-            "user_id": _text(F.col("k")),
-            "email": F.concat(F.lower("c_name"), F.lit("@example.com")),
-            "first_name": F.lit("Customer"),
-            "last_name": F.col("c_name"),
-            "country": F.col("n_name"),
-            "marital_status": F.when(F.col("k") % 2 == 0, "single").otherwise("married"),
-            "kyc_status": F.when(F.col("ver") == 0, "pending").otherwise("verified"),
-            "created_at": F.lit("2023-01-01 00:00:00"),
-        },
+        user_id="cast(k as string)",
+        email="concat(lower(c_name), '@example.com')",
+        first_name="'Customer'",
+        last_name="c_name",
+        country="n_name",
+        marital_status="case when k % 2 = 0 then 'single' else 'married' end",
+        kyc_status="case when ver = 0 then 'pending' else 'verified' end",
+        created_at="'2023-01-01 00:00:00'",
     )
 
 
 def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    owner = F.when(F.col("k") % 97 == 0, F.col("k") + 1000000).otherwise(F.col("k"))
     return _log(
         _versions(_table(spark, sf_dir, "customer"), "c_custkey"),
         "a",
-        {
-            "account_id": _text(F.col("k")),
-            "user_id": _text(owner),
-            "balance": _text(F.col("c_acctbal") + F.col("ver")),
-            "currency": F.when(F.col("c_nationkey") % 2 == 0, "USD").otherwise("EUR"),
-        },
+        account_id="cast(k as string)",
+        user_id="cast(case when k % 97 = 0 then k + 1000000 else k end as string)",
+        balance="cast(c_acctbal + ver as string)",
+        currency="case when c_nationkey % 2 = 0 then 'USD' else 'EUR' end",
     )
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    amount = (
-        F.when(F.col("k") % 103 == 0, F.lit(None))
-        .when(F.col("k") % 101 == 0, "-1.5")
-        .otherwise(_text(F.col("o_totalprice")))
-    )
     return _log(
         _versions(_table(spark, sf_dir, "orders"), "o_orderkey"),
         "t",
-        {
-            "transaction_id": _text(F.col("k")),
-            "from_account": _text(F.col("o_custkey")),
-            "to_account": _text((F.col("o_custkey") * 7 + 3) % 150),
-            "amount": amount,
-            "type": F.when(F.col("k") % 2 == 0, "transfer").otherwise("payment"),
-            "status": F.when(F.col("ver") == 0, "pending").otherwise("completed"),
-            "timestamp": _text(F.col("o_orderdate").cast("timestamp_ntz")),
-        },
+        transaction_id="cast(k as string)",
+        from_account="cast(o_custkey as string)",
+        to_account="cast((o_custkey * 7 + 3) % 150 as string)",
+        amount="case when k % 103 = 0 then null when k % 101 = 0 then '-1.5' else cast(o_totalprice as string) end",
+        type="case when k % 2 = 0 then 'transfer' else 'payment' end",
+        status="case when ver = 0 then 'pending' else 'completed' end",
+        timestamp="cast(cast(o_orderdate as timestamp_ntz) as string)",
     )
 
 
@@ -106,13 +91,11 @@ def raw_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _log(
         _versions(_table(spark, sf_dir, "events"), "event_id"),
         "l",
-        {
-            "log_id": _text(F.col("k")),
-            "action": F.col("event_type"),
-            "performed_by": F.concat(F.lit("user_"), _text(F.col("user_id"))),
-            "transaction_id": _text(F.col("event_id") % 1500),
-            "timestamp": _text(F.col("ts").cast("timestamp_ntz")),
-        },
+        log_id="cast(k as string)",
+        action="event_type",
+        performed_by="concat('user_', user_id)",
+        transaction_id="cast(event_id % 1500 as string)",
+        timestamp="cast(cast(ts as timestamp_ntz) as string)",
     )
 
 
