@@ -40,10 +40,12 @@ def spread_nulls(keys: Sequence[str], by: Sequence[str]) -> str:
     """0 for a complete key, a hash of ``by`` when a key part is null.
 
     A null key matches nothing, yet an outer join still ships all null-key rows to one task. Joining on
-    this expression as well sends them to many tasks and changes no match.
+    this expression as well sends them to many tasks and changes no match. The zero is a remainder by one
+    because a literal would be folded into a plain filter, which no longer partitions.
     """
     incomplete = " or ".join(f"{quoted(k)} is null" for k in keys)
-    return f"case when {incomplete} then xxhash64({', '.join(map(quoted, by))}) else 0L end"
+    zero = f"xxhash64({', '.join(map(quoted, keys))}) % 1"
+    return f"case when {incomplete} then xxhash64({', '.join(map(quoted, by))}) else {zero} end"
 
 
 def is_lossy(name: str, target: DataType) -> Column:
