@@ -1,0 +1,114 @@
+import datetime
+
+import pytest
+from conftest import explained, rows
+
+from tidemark.sinks import (
+    merge_into,
+    overwrite_path,
+    overwrite_self,
+    probe_target,
+    publish,
+    upsert_partitions,
+    write_partitioned,
+    write_target,
+)
+from tidemark.sinks.tables import arrange
+from tidemark.workspace import new_run
+
+D1, D2, D3 = (datetime.date(2024, 1, d) for d in (1, 2, 3))
+
+
+def facts(spark, *lines):
+    return spark.createDataFrame(list(lines), "k bigint, day date, v string")
+
+
+def stored(spark, path):
+    return rows(spark.read.parquet(path).select("k", "day", "v"))
+
+
+def test_overwrite_table_and_path(spark, tmp_path):
+    for target in ("sink_table", str(tmp_path / "sink")):
+        write_target(spark.range(3), target)
+        write_target(spark.range(2).withColumnRenamed("id", "other"), target)
+        assert probe_target(spark, target).columns == ["other"]
+
+
+def test_overwrite_self(spark, tmp_path):
+    path = overwrite_path(spark.range(4), str(tmp_path / "t"))
+    overwrite_self(spark.read.parquet(path).where("id > 1"), path)
+    assert rows(spark.read.parquet(path)) == [(2,), (3,)]
+
+
+def test_partitioned_layout_prunes(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_partitioned(facts(spark, (1, D1, "a"), (2, D2, "b"), (3, None, "c")), path, "day", ["v"])
+    found = spark.read.parquet(path).where("day = date'2024-01-02'")
+    assert rows(found.select("k")) == [(2,)]
+    assert "PartitionFilters: [isnotnull(day" in explained(found)
+    assert stored(spark, path) == [(1, D1, "a"), (2, D2, "b"), (3, None, "c")]
+
+
+def test_a_large_day_is_written_by_several_tasks(spark, settings, tmp_path):
+    settings(
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="200KB",
+        spark__sql__adaptive__coalescePartitions__minPartitionSize="1KB",
+    )
+    day = "case when id % 3 = 0 then date'2024-01-02' else date_add(date'2023-01-01', cast(id % 50 as int)) end as day"
+    source = spark.range(0, 90_000, 1, 8).selectExpr("id as k", day, "uuid() as v")
+    path = write_partitioned(source, str(tmp_path / "t"), "day", ["v"])
+    files = spark.read.parquet(path).where("day = date'2024-01-02'").selectExpr("_metadata.file_name as f", "v", "k")
+    assert files.select("f").distinct().count() > 3
+    assert spark.read.parquet(path).count() == 90_000
+
+
+def test_arrangement_sorts_by_day_and_cluster(spark):
+    plan = explained(arrange(facts(spark), "day", ["v"]))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan and "[day#" in plan.split("Sort")[-1]
+
+
+def test_upsert_moves_rows_between_days(spark, tmp_path):
+    """The old day of a moved row is rewritten too, and an emptied one reads as empty."""
+    path = write_partitioned(facts(spark, (1, D1, "a"), (2, D2, "b"), (3, D3, "c")), str(tmp_path / "t"), "day")
+    result = upsert_partitions(spark, path, facts(spark, (1, D2, "A"), (4, D3, "d")), "k", "day")
+    assert stored(spark, path) == [(1, D2, "A"), (2, D2, "b"), (3, D3, "c"), (4, D3, "d")]
+    assert (result.rows, result.rewritten, result.emptied) == (2, (D1, D2, D3), (D1,))
+
+
+def test_upsert_touches_no_other_day(spark, tmp_path):
+    path = write_partitioned(facts(spark, (1, D1, "a"), (2, D2, "b")), str(tmp_path / "t"), "day")
+    before = {f for f in spark.read.parquet(path).where("k = 2").inputFiles() if "2024-01-02" in f}
+    result = upsert_partitions(spark, path, facts(spark, (1, D1, "A")), "k", "day")
+    after = {f for f in spark.read.parquet(path).inputFiles() if "2024-01-02" in f}
+    assert before == after and result.rewritten == (D1,)
+
+
+def test_upsert_of_null_days(spark, tmp_path):
+    path = write_partitioned(facts(spark, (1, None, "a"), (2, None, "b"), (3, D1, "c")), str(tmp_path / "t"), "day")
+    upsert_partitions(spark, path, facts(spark, (1, D1, "A"), (3, None, "C")), "k", "day")
+    assert stored(spark, path) == [(1, D1, "A"), (2, None, "b"), (3, None, "C")]
+    upsert_partitions(spark, path, facts(spark, (2, D1, "B"), (3, D1, "c")), "k", "day")
+    assert stored(spark, path) == [(1, D1, "A"), (2, D1, "B"), (3, D1, "c")]
+
+
+def test_upsert_is_idempotent_and_republishes(spark, tmp_path):
+    path = write_partitioned(facts(spark, (1, D1, "a"), (2, D2, "b")), str(tmp_path / "t"), "day")
+    delta = facts(spark, (1, D2, "A"))
+    result = upsert_partitions(spark, path, delta, "k", "day")
+    once = stored(spark, path)
+    publish(spark, result.run, path, delta.schema, "day", (), result.rewritten)
+    assert stored(spark, path) == once
+    upsert_partitions(spark, path, delta, "k", "day")
+    assert stored(spark, path) == once
+    assert upsert_partitions(spark, path, delta.where("k < 0"), "k", "day").rows == 0
+
+
+def test_upsert_needs_a_date(spark, tmp_path):
+    with pytest.raises(TypeError):
+        upsert_partitions(spark, str(tmp_path), facts(spark), "k", "v")
+
+
+def test_merge_needs_a_format_that_has_it(spark):
+    spark.range(2).write.mode("overwrite").saveAsTable("plain_parquet")
+    with pytest.raises(Exception, match="(?i)merge|unsupported"):
+        merge_into(spark.range(1), "plain_parquet", "id")

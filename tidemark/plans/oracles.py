@@ -345,6 +345,7 @@ BODIES = {
     union all select * from audit_delta""",
     "upsert_emptied_days": """
     select * replace (event_date + cast(day(event_date) % 2 as integer) as event_date) from first_audit""",
+    "stream_upsert": _all_of("fct_audit"),
     "dim_users": _all_of("int_users"),
     "dim_accounts": _all_of("int_accounts"),
     "fct_transactions": _all_of("fct_transactions"),

@@ -32,6 +32,7 @@ from tidemark.sinks.tables import overwrite_path, overwrite_self, write_partitio
 from tidemark.sinks.upsert import upsert_frame, upsert_partitions
 from tidemark.sources.derived import BUILDERS, derived_sources
 from tidemark.sources.parquet import read_generations, read_parquet
+from tidemark.streaming import upsert_arrivals
 from tidemark.workspace import new_run
 
 AS_OF = "2024-07-01 00:00:00"
@@ -280,6 +281,28 @@ def upsert_emptied_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet(spark, path, schema=facts.schema)
 
 
+def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit log lands in two waves, the later versions first; each is taken in by the stream."""
+    path = new_run(spark, "stream")
+    log = _raw(spark, sf_dir, AUDIT)
+    first = F.col("_airbyte_extracted_at") == _ntz(FIRST_LOAD_UNTIL)
+    for wave in (log.where(~first), log.where(first)):
+        wave.write.mode("append").parquet(f"{path}/landing")
+        upsert_arrivals(
+            spark,
+            f"{path}/landing",
+            log.schema,
+            AUDIT,
+            marts.audit_facts,
+            f"{path}/fct_audit",
+            marts.AUDIT_DAY,
+            f"{path}/progress",
+            marts.AUDIT_CLUSTER,
+            "timestamp_ntz",
+        )
+    return read_parquet(spark, f"{path}/fct_audit", schema=marts.fct_audit(_staged(spark, sf_dir, AUDIT)).schema)
+
+
 # --- marts -------------------------------------------------------------------------------------------
 
 
@@ -494,6 +517,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         incremental_upsert,
         partitioned_upsert,
         upsert_emptied_days,
+        stream_upsert,
         dim_users,
         dim_accounts,
         fct_transactions,

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructType
 
-from tidemark.functions import column
+from tidemark.functions import column, quoted
 from tidemark.operators.metrics import count_rows
 from tidemark.sinks.tables import overwrite_path, write_partitioned
 from tidemark.sources.parquet import read_parquet
@@ -101,9 +101,9 @@ def publish(
 
 def merge_into(delta: DataFrame, table: str, key: str) -> None:
     """The same upsert for table formats that bring their own ``MERGE``."""
-    source = delta.alias("source")
     (
-        source.mergeInto(table, column(key) == F.col(f"source.`{key}`"))
+        delta.alias("source")
+        .mergeInto(table, F.expr(f"{table}.{quoted(key)} = source.{quoted(key)}"))
         .whenMatched()
         .updateAll()
         .whenNotMatched()
