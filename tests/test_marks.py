@@ -1,7 +1,8 @@
 import pytest
 from conftest import explained, rows
 
-from tidemark.operators.marks import Marks, high_water_mark, incremental_rows
+from tidemark.operators import marks as m
+from tidemark.operators.marks import Marks, high_water_mark, touched_keys
 from tidemark.schemas import Column, Entity
 
 THING = Entity("things", "k", (Column("k", "k"), Column("v", "v")))
@@ -25,6 +26,10 @@ def target(spark, days, kind="timestamp"):
     )
 
 
+def incremental_rows(log, entity, marks, touched_only=True):
+    return m.incremental_rows(log, entity, marks, touched_keys(log, entity, marks) if touched_only else None)
+
+
 LOG = [(1, 10, 3, 3), (1, 9, 2, 6), (2, 10, 6, 6), (2, 9, 2, 2), (3, 1, 1, 1), (4, 1, 1, 9), (4, 2, 7, 1)]
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
-from tidemark.functions import column, past_marks
+from tidemark.functions import past_marks, quoted
 from tidemark.operators.versions import latest_by_key, live_rows, project_current
 from tidemark.schemas import EXTRACTED_AT, UPDATED_AT, Entity
 
@@ -59,23 +59,29 @@ def past_high_water_mark(current: DataFrame, marks: Marks) -> DataFrame:
     return current.where(marks.passed_by(UPDATED_CLOCK, INGESTED_CLOCK))
 
 
-def incremental_rows(staged: DataFrame, entity: Entity, marks: Marks, touched_only: bool = True) -> DataFrame:
+def touched_keys(staged: DataFrame, entity: Entity, marks: Marks) -> DataFrame:
+    """Keys with a live row past either mark."""
+    past = live_rows(staged).where(marks.passed_by(UPDATED_AT, EXTRACTED_AT))
+    return past.selectExpr(quoted(entity.key)).distinct()
+
+
+def incremental_rows(
+    staged: DataFrame, entity: Entity, marks: Marks, touched: DataFrame | None = None
+) -> DataFrame:
     """Current rows that changed since ``marks``.
 
-    ``touched_only`` ranks the full history of only those keys that have a live row past a mark. Every
-    row past a mark names its key, so the result is that of ranking the whole log; filtering the log
-    itself would not be, as an older version with a later clock could win. Null keys match each other
-    here, as they do when ranking.
+    Without ``touched`` the whole log is ranked. With it, the result of ``touched_keys``, only the full
+    history of those keys is. Every row past a mark names its key, so both give the same rows; filtering
+    the log itself would not, as an older version with a later clock could win.
+
+    Store the touched keys before they are used here: the planner then knows how few they are, and
+    filters the log in the scan tasks instead of shuffling all of it for the join.
     """
-    log = staged
-    if touched_only:
-        live = live_rows(staged)
-        touched = live.where(marks.passed_by(UPDATED_AT, EXTRACTED_AT)).select(column(entity.key))
-        log = keep_keys(live, touched, entity.key)
+    log = staged if touched is None else keep_keys(live_rows(staged), touched, entity.key)
     return past_high_water_mark(project_current(latest_by_key(log, entity.key), entity), marks)
 
 
-def keep_keys(rows: DataFrame, touched: DataFrame, key: str) -> DataFrame:
-    """Rows whose key occurs in ``touched``, null keys matching each other."""
-    keys = touched.select(column(key).alias("__touched")).distinct()
-    return rows.join(keys, column(key).eqNullSafe(column("__touched")), "left_semi")
+def keep_keys(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is among ``keys``. Null keys match each other, as they do when ranking."""
+    wanted = keys.selectExpr(f"{quoted(key)} as __wanted")
+    return rows.join(wanted, F.expr(f"{quoted(key)} <=> __wanted"), "left_semi")

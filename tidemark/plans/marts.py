@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions import utc_date
 from tidemark.operators.joins import enrich_transactions
-from tidemark.operators.marks import Marks, incremental_rows
+from tidemark.operators.marks import Marks, incremental_rows, touched_keys
 from tidemark.operators.versions import current_rows
-from tidemark.schemas import ACCOUNTS, AUDIT, FCT_AUDIT_COLUMNS, FCT_TRANSACTIONS_COLUMNS, TRANSACTIONS, USERS
-from tidemark.sinks.tables import write_partitioned, write_target
+from tidemark.schemas import ACCOUNTS, AUDIT, FCT_AUDIT_COLUMNS, FCT_TRANSACTIONS_COLUMNS, TRANSACTIONS, USERS, Entity
+from tidemark.sinks.tables import store, write_partitioned, write_target
 from tidemark.sinks.upsert import UpsertResult, upsert_partitions
 from tidemark.sources.parquet import probe_path, read_parquet
+from tidemark.workspace import new_run
 
 # Layout of the two facts.
 TRANSACTION_DAY = "transaction_date"
@@ -54,13 +55,13 @@ def fct_transactions_increment(
     staged_transactions: DataFrame,
     staged_accounts: DataFrame,
     marks: Marks,
-    touched_only: bool = True,
+    touched: DataFrame | None = None,
 ) -> DataFrame:
     """Facts changed since the ``marks`` of the loaded table.
 
     The marks are applied before the owner lookups, so only changed rows are joined.
     """
-    changed = incremental_rows(staged_transactions, TRANSACTIONS, marks, touched_only)
+    changed = incremental_rows(staged_transactions, TRANSACTIONS, marks, touched)
     return transaction_facts(changed, dim_accounts(staged_accounts))
 
 
@@ -86,9 +87,9 @@ def load_fct_transactions(
     return load_incremental(
         spark,
         path,
-        fct_transactions(staged_transactions, staged_accounts),
-        lambda marks: fct_transactions_increment(staged_transactions, staged_accounts, marks),
-        TRANSACTIONS.key,
+        staged_transactions,
+        TRANSACTIONS,
+        lambda current: transaction_facts(current, dim_accounts(staged_accounts)),
         TRANSACTION_DAY,
         TRANSACTION_CLUSTER,
         full_refresh,
@@ -99,9 +100,9 @@ def load_fct_transactions(
 def load_incremental(
     spark: SparkSession,
     path: str,
-    everything: DataFrame,
-    increment: Callable[[Marks], DataFrame],
-    key: str,
+    staged: DataFrame,
+    entity: Entity,
+    facts: Callable[[DataFrame], DataFrame],
     partition_by: str,
     cluster_by: Sequence[str] = (),
     full_refresh: bool = False,
@@ -109,14 +110,17 @@ def load_incremental(
 ) -> UpsertResult | None:
     """Load a keyed, day-partitioned fact; returns ``None`` after a full write.
 
-    An existing but empty target has no marks, so nothing passes them; ``empty_means_full`` loads
-    everything in that case. The marks are fetched as plain values, by which the scan of the log can
-    skip row groups.
+    ``facts`` turns current rows into rows of the fact. An existing but empty target has no marks, so
+    nothing passes them; ``empty_means_full`` loads everything in that case. The marks are fetched as
+    plain values, by which the scan of the log can skip row groups.
     """
+    everything = facts(current_rows(staged, entity))
     if not full_refresh and probe_path(spark, path) is not None:
         target = read_parquet(spark, path, schema=everything.schema)
         if not (empty_means_full and target.isEmpty()):
-            delta = increment(Marks.fetched(target))
-            return upsert_partitions(spark, path, delta, key, partition_by, cluster_by)
+            marks = Marks.fetched(target)
+            touched = store(touched_keys(staged, entity, marks), f"{new_run(spark, 'touched')}/keys")
+            delta = facts(incremental_rows(staged, entity, marks, touched))
+            return upsert_partitions(spark, path, delta, entity.key, partition_by, cluster_by)
     write_partitioned(everything, path, partition_by, cluster_by)
     return None

@@ -14,7 +14,7 @@ from pyspark.sql.types import DecimalType
 from tidemark.functions import quoted
 from tidemark.operators import quality
 from tidemark.operators.joins import enrich_transactions, merge_upsert as merge_frames
-from tidemark.operators.marks import Marks, high_water_mark as marks_of, incremental_rows
+from tidemark.operators.marks import Marks, high_water_mark as marks_of, touched_keys
 from tidemark.operators.metrics import count_rows
 from tidemark.operators.quarantine import split_malformed
 from tidemark.operators.schema_ops import (
@@ -28,7 +28,7 @@ from tidemark.operators.staging import stage, stamp_ingested_at as stamp, strip_
 from tidemark.operators.versions import current_rows, live_rows as live
 from tidemark.plans import loads, marts
 from tidemark.schemas import ACCOUNTS, AUDIT, TRANSACTIONS, USERS, Entity
-from tidemark.sinks.tables import overwrite_path, overwrite_self, write_partitioned
+from tidemark.sinks.tables import overwrite_path, overwrite_self, store, write_partitioned
 from tidemark.sinks.upsert import upsert_frame, upsert_partitions
 from tidemark.sources.derived import BUILDERS, derived_sources
 from tidemark.sources.parquet import read_generations, read_parquet
@@ -215,19 +215,22 @@ def high_water_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _increment(spark, sf_dir, touched_only=True)
+    """Changed facts by ranking only the keys with a row past a mark."""
+    # The owner lookups of the fact leave its clocks as they are, so the marks need no joins.
+    marks = Marks.fetched(_first_current(spark, sf_dir))
+    transactions = _staged(spark, sf_dir, TRANSACTIONS)
+    touched = store(touched_keys(transactions, TRANSACTIONS, marks), new_run(spark, "touched"))
+    return _portable(
+        marts.fct_transactions_increment(transactions, _staged(spark, sf_dir, ACCOUNTS), marks, touched)
+    )
 
 
 def incremental_delta_full_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _increment(spark, sf_dir, touched_only=False)
-
-
-def _increment(spark: SparkSession, sf_dir: str, touched_only: bool) -> DataFrame:
-    # The owner lookups of the fact leave its clocks as they are, so the marks need no joins.
+    """Changed facts by ranking the whole log, the marks as subqueries."""
     marks = Marks.deferred(_first_current(spark, sf_dir))
     return _portable(
         marts.fct_transactions_increment(
-            _staged(spark, sf_dir, TRANSACTIONS), _staged(spark, sf_dir, ACCOUNTS), marks, touched_only
+            _staged(spark, sf_dir, TRANSACTIONS), _staged(spark, sf_dir, ACCOUNTS), marks
         )
     )
 
@@ -235,12 +238,14 @@ def _increment(spark: SparkSession, sf_dir: str, touched_only: bool) -> DataFram
 def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact after a second run: a stored first load with the stored increment in place of its keys."""
     path = new_run(spark, "fct_transactions")
-    accounts = _staged(spark, sf_dir, ACCOUNTS)
-    first = marts.transaction_facts(_first_current(spark, sf_dir), marts.dim_accounts(accounts))
-    stored = read_parquet(spark, overwrite_path(first, f"{path}/target"), schema=first.schema)
-    delta = marts.fct_transactions_increment(_staged(spark, sf_dir, TRANSACTIONS), accounts, Marks.fetched(stored))
-    staged_delta = read_parquet(spark, overwrite_path(delta, f"{path}/delta"), schema=delta.schema)
-    return _portable(upsert_frame(stored, staged_delta, TRANSACTIONS.key))
+    transactions, accounts = _staged(spark, sf_dir, TRANSACTIONS), _staged(spark, sf_dir, ACCOUNTS)
+    first = store(
+        marts.transaction_facts(_first_current(spark, sf_dir), marts.dim_accounts(accounts)), f"{path}/target"
+    )
+    marks = Marks.fetched(first)
+    touched = store(touched_keys(transactions, TRANSACTIONS, marks), f"{path}/touched")
+    delta = store(marts.fct_transactions_increment(transactions, accounts, marks, touched), f"{path}/delta")
+    return _portable(upsert_frame(first, delta, TRANSACTIONS.key))
 
 
 def _first_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,9 +268,9 @@ def partitioned_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         marts.load_incremental(
             spark,
             path,
-            marts.fct_audit(staged),
-            lambda marks: marts.audit_facts(incremental_rows(staged, AUDIT, marks)),
-            AUDIT.key,
+            staged,
+            AUDIT,
+            marts.audit_facts,
             marts.AUDIT_DAY,
             marts.AUDIT_CLUSTER,
         )
@@ -329,9 +334,8 @@ def fct_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sink_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accounts are written, then overwritten by a frame that reads them."""
-    accounts = marts.dim_accounts(_staged(spark, sf_dir, ACCOUNTS))
-    path = overwrite_path(accounts, new_run(spark, "dim_accounts"))
-    stored = read_parquet(spark, path, schema=accounts.schema)
+    path = new_run(spark, "dim_accounts")
+    stored = store(marts.dim_accounts(_staged(spark, sf_dir, ACCOUNTS)), path)
     overwrite_self(stored.where("currency = 'EUR'").withColumn("balance", F.col("balance") + 1), path)
     return _portable(read_parquet(spark, path))
 

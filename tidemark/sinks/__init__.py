@@ -1,6 +1,14 @@
 """Writes: whole-table overwrite, day-partitioned layout, keyed upsert of partitions."""
 
-from tidemark.sinks.tables import overwrite_path, overwrite_self, overwrite_table, probe_target, write_partitioned, write_target
+from tidemark.sinks.tables import (
+    overwrite_path,
+    overwrite_self,
+    overwrite_table,
+    probe_target,
+    store,
+    write_partitioned,
+    write_target,
+)
 from tidemark.sinks.upsert import UpsertResult, merge_into, publish, upsert_frame, upsert_partitions
 
 __all__ = [
@@ -11,6 +19,7 @@ __all__ = [
     "overwrite_table",
     "probe_target",
     "publish",
+    "store",
     "upsert_frame",
     "upsert_partitions",
     "write_partitioned",

@@ -23,15 +23,22 @@ def overwrite_path(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     return path
 
 
+def store(df: DataFrame, path: str) -> DataFrame:
+    """Write a frame once and go on with the copy.
+
+    For results used several times, and for small ones the planner could not know to be small. The copy
+    is in the shared folder, so it survives the loss of executors.
+    """
+    return read_parquet(df.sparkSession, overwrite_path(df, path), schema=df.schema)
+
+
 def overwrite_self(df: DataFrame, path: str, run: str | None = None) -> str:
     """Replace ``path`` by a frame that reads it.
 
     Spark removes the old files before the new ones are complete, so the frame is written to the shared
     folder first. That copy stays, and the second step can be repeated from it.
     """
-    staged = run or new_run(df.sparkSession, "overwrite")
-    overwrite_path(df, staged)
-    return overwrite_path(read_parquet(df.sparkSession, staged, schema=df.schema), path)
+    return overwrite_path(store(df, run or new_run(df.sparkSession, "overwrite")), path)
 
 
 def write_target(df: DataFrame, target: str, fmt: str = "parquet") -> str:

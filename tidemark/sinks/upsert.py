@@ -12,7 +12,7 @@ from pyspark.sql.types import DateType, StructType
 
 from tidemark.functions import column, quoted
 from tidemark.operators.metrics import count_rows
-from tidemark.sinks.tables import overwrite_path, write_partitioned
+from tidemark.sinks.tables import overwrite_path, store, write_partitioned
 from tidemark.sources.parquet import read_parquet
 from tidemark.workspace import new_run
 
@@ -56,13 +56,12 @@ def upsert_partitions(
     run = new_run(spark, "upsert")
     schema = delta.schema
 
-    # The increment is used four times below; written once, its true size is known to the planner too.
+    # The increment is used four times below.
     counted, rows = count_rows(delta, "delta")
-    overwrite_path(counted, f"{run}/delta")
+    delta = store(counted, f"{run}/delta")
     delta_rows = rows.get["rows"]
     if delta_rows == 0:
         return UpsertResult(0, (), (), run)
-    delta = read_parquet(spark, f"{run}/delta", schema=schema)
     stored = _read_target(spark, target, schema)
 
     keys = delta.select(column(key))

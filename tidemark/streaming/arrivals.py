@@ -16,9 +16,10 @@ from tidemark.operators.marks import keep_keys
 from tidemark.operators.staging import stage
 from tidemark.operators.versions import current_rows, live_rows
 from tidemark.schemas import Entity
-from tidemark.sinks.tables import write_partitioned
+from tidemark.sinks.tables import store, write_partitioned
 from tidemark.sinks.upsert import upsert_partitions
 from tidemark.sources.parquet import probe_path, read_parquet
+from tidemark.workspace import new_run
 
 
 def upsert_arrivals(
@@ -46,8 +47,8 @@ def upsert_arrivals(
         if probe_path(session, target) is None:
             write_partitioned(facts(current_rows(log, entity)), target, partition_by, cluster_by)
             return
-        arrived = live_rows(stage(batch, entity, timestamp_type)).selectExpr(quoted(entity.key))
-        touched = keep_keys(live_rows(log), arrived, entity.key)
+        arrived = live_rows(stage(batch, entity, timestamp_type)).selectExpr(quoted(entity.key)).distinct()
+        touched = keep_keys(live_rows(log), store(arrived, new_run(session, "arrived")), entity.key)
         upsert_partitions(
             session, target, facts(current_rows(touched, entity)), entity.key, partition_by, cluster_by
         )
