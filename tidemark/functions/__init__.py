@@ -5,8 +5,10 @@ from tidemark.functions.expressions import (
     is_lossy,
     past_marks,
     quoted,
+    report_rows,
     same_name,
     spread_nulls,
+    text,
     typed_null,
     utc_date,
 )
@@ -16,8 +18,10 @@ __all__ = [
     "is_lossy",
     "past_marks",
     "quoted",
+    "report_rows",
     "same_name",
     "spread_nulls",
+    "text",
     "typed_null",
     "utc_date",
 ]

@@ -6,7 +6,7 @@ keeps the time to build a plan short.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +20,17 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def text(value: str) -> str:
+    """A string literal as SQL text."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def report_rows(rows: Iterable[Mapping[str, str]]) -> str:
+    """A generator of constant-size reports: each mapping of column name to SQL text becomes a row."""
+    structs = ["struct(" + ", ".join(f"{value} as {name}" for name, value in row.items()) + ")" for row in rows]
+    return f"inline(array({', '.join(structs)}))"
+
+
 def column(name: str) -> Column:
     """Column by its exact name."""
     return F.col(quoted(name))
@@ -48,9 +59,10 @@ def spread_nulls(keys: Sequence[str], by: Sequence[str]) -> str:
     return f"case when {incomplete} then xxhash64({', '.join(map(quoted, by))}) else {zero} end"
 
 
-def is_lossy(name: str, target: DataType) -> Column:
+def is_lossy(name: str, target: DataType | str) -> str:
     """True where a value is present but cannot be converted to ``target``."""
-    return column(name).isNotNull() & column(name).try_cast(target).isNull()
+    target_name = target if isinstance(target, str) else target.simpleString()
+    return f"({quoted(name)} is not null and try_cast({quoted(name)} as {target_name}) is null)"
 
 
 def past_marks(updated_mark: Column, ingested_mark: Column, updated: str, ingested: str) -> Column:

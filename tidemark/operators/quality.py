@@ -6,10 +6,10 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import column
+from tidemark.functions import column, quoted, report_rows, text
 from tidemark.sinks.tables import overwrite_path, overwrite_table
 
 UNIQUE = "unique"
@@ -50,20 +50,17 @@ MART_RULES = (
 )
 
 
-def row_violation(rule: Rule) -> Column:
+def row_violation(rule: Rule) -> str:
     """Predicate of a rule that can be judged row by row; range bounds are inclusive and nulls pass."""
-    value = column(rule.column)
+    value = quoted(rule.column)
     if rule.kind == NOT_NULL:
-        return value.isNull()
+        return f"{value} is null"
     if rule.kind == ACCEPTED_RANGE:
-        bounds = []
-        if rule.min_value is not None:
-            bounds.append(value < rule.min_value)
-        if rule.max_value is not None:
-            bounds.append(value > rule.max_value)
-        if not bounds:
+        below = [] if rule.min_value is None else [f"{value} < {rule.min_value}"]
+        above = [] if rule.max_value is None else [f"{value} > {rule.max_value}"]
+        if not below + above:
             raise ValueError(f"{rule.name} has no bound")
-        return reduce(lambda a, b: a | b, bounds)
+        return " or ".join(below + above)
     raise ValueError(f"{rule.kind} is not a row rule")
 
 
@@ -117,36 +114,34 @@ def quality_report(frames: Mapping[str, DataFrame], rules: Sequence[Rule] = MART
 def _table_report(df: DataFrame, unique: Sequence[Rule], by_row: Sequence[Rule]) -> DataFrame | None:
     if not unique and not by_row:
         return None
-    per_row = [F.count_if(row_violation(rule)).alias(f"rule_{i}") for i, rule in enumerate(by_row)]
+    per_row = [f"count_if({row_violation(rule)}) as rule_{i}" for i, rule in enumerate(by_row)]
     counted = list(by_row)
     if not unique:
-        totals = df.agg(*per_row)
+        totals = df.selectExpr(*per_row)
     else:
-        key = unique[0].column
-        # a grouping name of its own, as the rules may name the key column too
-        grouped = df.groupBy(column(key).alias("__key")).agg(F.count(F.lit(1)).alias("n_records"), *per_row)
-        totals = grouped.agg(
-            *[F.coalesce(F.sum(f"rule_{i}"), F.lit(0)).alias(f"rule_{i}") for i in range(len(by_row))],
-            F.count_if(column("__key").isNotNull() & (F.col("n_records") > 1)).alias(f"rule_{len(by_row)}"),
+        key = df.groupBy(column(unique[0].column).alias("__key"))
+        grouped = key.agg(F.expr("count(1) as n_records"), *map(F.expr, per_row))
+        totals = grouped.selectExpr(
+            *[f"coalesce(sum(rule_{i}), 0L) as rule_{i}" for i in range(len(by_row))],
+            f"count_if(__key is not null and n_records > 1) as rule_{len(by_row)}",
         )
         counted.append(unique[0])
-    lines = [_line(rule, F.col(f"rule_{i}")) for i, rule in enumerate(counted)]
-    return totals.select(F.inline(F.array(*lines)))
+    return totals.selectExpr(report_rows(_line(rule, f"rule_{i}") for i, rule in enumerate(counted)))
 
 
 def _relationship_report(frames: Mapping[str, DataFrame], rule: Rule) -> DataFrame:
-    total = failing_rows(frames, rule).agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("total"))
-    return total.select(F.inline(F.array(_line(rule, F.col("total")))))
-
-
-def _line(rule: Rule, failures: Column) -> Column:
-    return F.struct(
-        F.lit(rule.name).alias("rule_name"),
-        F.lit(rule.table).alias("table_name"),
-        F.lit(rule.column).alias("column_name"),
-        F.lit(rule.kind).alias("rule_kind"),
-        failures.cast("bigint").alias("failures"),
-    )
+    total = failing_rows(frames, rule).selectExpr("coalesce(sum(n_records), 0L) as total")
+    return total.selectExpr(report_rows([_line(rule, "total")]))
+
+
+def _line(rule: Rule, failures: str) -> dict[str, str]:
+    return {
+        "rule_name": text(rule.name),
+        "table_name": text(rule.table),
+        "column_name": text(rule.column),
+        "rule_kind": text(rule.kind),
+        "failures": failures,
+    }
 
 
 def store_failures(

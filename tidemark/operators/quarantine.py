@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tidemark.functions import column
+from tidemark.functions import is_lossy, text
 from tidemark.operators.staging import cast_of, stage
 from tidemark.schemas import Entity
 
@@ -14,18 +13,8 @@ REASON = "quarantine_reason"
 
 def split_malformed(raw: DataFrame, entity: Entity, timestamp_type: str = "timestamp") -> tuple[DataFrame, DataFrame]:
     """Staged good rows, and bad raw rows with the names of the columns that cannot be cast."""
-    broken = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    column(c.raw).isNotNull() & column(c.raw).try_cast(cast_of(c.cast, timestamp_type)).isNull(),
-                    F.lit(c.raw),
-                )
-                for c in entity.columns
-                if c.cast
-            ]
-        )
-    )
-    judged = raw.withColumn(REASON, F.array_join(broken, ","))
-    good = stage(judged.where(column(REASON) == ""), entity, timestamp_type)
-    return good, judged.where(column(REASON) != "")
+    casts = {c.raw: cast_of(c.cast, timestamp_type) for c in entity.columns if c.cast}
+    broken = [f"case when {is_lossy(name, kind)} then {text(name)} end" for name, kind in casts.items()]
+    judged = raw.selectExpr("*", f"concat_ws(',', {', '.join(broken)}) as {REASON}")
+    good = stage(judged.where(f"{REASON} = ''"), entity, timestamp_type)
+    return good, judged.where(f"{REASON} <> ''")

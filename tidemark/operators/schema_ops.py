@@ -6,11 +6,11 @@ from collections.abc import Collection, Mapping
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from tidemark.functions import column, is_lossy, same_name, typed_null
+from tidemark.functions import column, is_lossy, quoted, report_rows, same_name, text, typed_null
 from tidemark.schemas import CONTRACT
 
 MISSING_IN_FIRST = "missing_in_first"
@@ -66,33 +66,29 @@ def schema_drift(incoming: DataFrame, target: DataFrame) -> DataFrame:
     target_types = {fold(f.name): f.dataType for f in target.schema}
     issues = schema_issues(incoming, target)
 
-    counts: list[Column] = []
+    counts, rows = [], []
     for i, (name, issue) in enumerate(issues.items()):
-        held = F.count(column(name)) if fold(name) in present else F.lit(0)
-        counts.append(held.cast("bigint").alias(f"held_{i}"))
-        lost = F.lit(0)
-        if issue == TYPE_DIFFERS:
-            lost = _lost(incoming, present[fold(name)], target_types[fold(name)])
-        counts.append(lost.cast("bigint").alias(f"lost_{i}"))
-    rows = [
-        F.struct(
-            F.lit(name).alias("column_name"),
-            F.lit(issue or "none").alias("issue"),
-            column(f"held_{i}").alias("incoming_rows"),
-            column(f"lost_{i}").alias("lossy_rows"),
+        held = f"count({quoted(name)})" if fold(name) in present else "0L"
+        lost = _lost(incoming, present[fold(name)], target_types[fold(name)]) if issue == TYPE_DIFFERS else "0L"
+        counts += [f"{held} as held_{i}", f"{lost} as lost_{i}"]
+        rows.append(
+            {
+                "column_name": text(name),
+                "issue": text(issue or "none"),
+                "incoming_rows": f"held_{i}",
+                "lossy_rows": f"lost_{i}",
+            }
         )
-        for i, (name, issue) in enumerate(issues.items())
-    ]
-    return incoming.agg(*counts).select(F.inline(F.array(*rows)))
+    return incoming.selectExpr(*counts).selectExpr(report_rows(rows))
 
 
-def _lost(df: DataFrame, name: str, target: DataType) -> Column:
+def _lost(df: DataFrame, name: str, target: DataType) -> str:
     """Count of values without a conversion to ``target``; all of them if the types have none."""
-    lossy = F.count_if(is_lossy(name, target))
+    lossy = f"count_if({is_lossy(name, target)})"
     try:
-        df.agg(lossy)
+        df.selectExpr(lossy)
     except AnalysisException:
-        return F.count(column(name))
+        return f"count({quoted(name)})"
     return lossy
 
 
@@ -148,16 +144,17 @@ def contract_check(
         absent = {c for c in required if (table, None) in missing or (table, c) in missing}
         counted = {c: f"held_{i}" for i, c in enumerate(required) if c not in absent}
         rows = [
-            F.struct(
-                F.lit(table).alias("table_name"),
-                F.lit(c).alias("column_name"),
-                F.lit(c not in absent).alias("present"),
-                (column(counted[c]) if c in counted else F.lit(0)).cast("bigint").alias("non_null_rows"),
-            )
+            {
+                "table_name": text(table),
+                "column_name": text(c),
+                "present": "false" if c in absent else "true",
+                "non_null_rows": counted.get(c, "0L"),
+            }
             for c in required
         ]
-        base = frames[table].agg(*[F.count(column(c)).alias(n) for c, n in counted.items()]) if counted else spark.range(1)
-        reports.append(base.select(F.inline(F.array(*rows))))
+        counts = [f"count({quoted(c)}) as {held}" for c, held in counted.items()]
+        base = frames[table].selectExpr(*counts) if counts else spark.range(1)
+        reports.append(base.selectExpr(report_rows(rows)))
     return reduce(DataFrame.unionByName, reports)
 
 

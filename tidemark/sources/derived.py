@@ -19,7 +19,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _use_all_cores(rows: DataFrame, key: str) -> DataFrame:
-    """Spread a table that scans in fewer tasks than there are cores, such as one small file.
+    """Spread a log's table if it scans in fewer tasks than there are cores, such as one small file.
 
     Larger tables, which is what matters at scale, keep their scan tasks and are not shuffled.
     """
@@ -28,7 +28,7 @@ def _use_all_cores(rows: DataFrame, key: str) -> DataFrame:
 
 
 def _versions(rows: DataFrame, key: str) -> DataFrame:
-    keyed = _use_all_cores(rows, key).selectExpr("*", f"{key} as k")
+    keyed = rows.selectExpr("*", f"{key} as k")
     return keyed.selectExpr("*", "explode(sequence(0, cast(k % 3 as int))) as ver")
 
 
@@ -75,7 +75,7 @@ def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _log(
-        _versions(_table(spark, sf_dir, "orders"), "o_orderkey"),
+        _versions(_use_all_cores(_table(spark, sf_dir, "orders"), "o_orderkey"), "o_orderkey"),
         "t",
         transaction_id="cast(k as string)",
         from_account="cast(o_custkey as string)",
@@ -89,7 +89,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _log(
-        _versions(_table(spark, sf_dir, "events"), "event_id"),
+        _versions(_use_all_cores(_table(spark, sf_dir, "events"), "event_id"), "event_id"),
         "l",
         log_id="cast(k as string)",
         action="event_type",
