@@ -282,7 +282,7 @@ union all select m.* from main_users m where m.user_id not in (select user_id fr
 union all select u.* from update_users u where u.user_id not in (select user_id from main_users)"""
 
 CTES |= {
-    "early_users": f"select * from stg_users where {_SEEN} and user_id % 4 <> 1",
+    "early_users": f"select * from stg_users where {_SEEN} and country <> 'NATION_1'",
     "late_users": f"select * from stg_users where not ({_SEEN})",
     "main_users": _current("users", "early_users"),
     "newer_users": _current("users", "late_users"),

@@ -189,10 +189,13 @@ def int_transactions_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Users known from first versions, updated with the later ones; every third update has no country."""
+    """First versions of the users, but for a country added later, updated with the later versions.
+
+    Every third update has no country.
+    """
     users = _staged(spark, sf_dir, USERS)
     first = F.col("_airbyte_extracted_at") == _ntz(FIRST_LOAD_UNTIL)
-    main = current_rows(users.where(first & (F.col("user_id") % 4 != 1)), USERS)
+    main = current_rows(users.where(first & (F.col("country") != "NATION_1")), USERS)
     update = current_rows(users.where(~first), USERS).withColumn(
         "country", F.when(F.col("user_id") % 3 != 0, F.col("country"))
     )
