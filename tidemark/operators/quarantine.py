@@ -14,7 +14,8 @@ REASON = "quarantine_reason"
 def split_malformed(raw: DataFrame, entity: Entity, timestamp_type: str = "timestamp") -> tuple[DataFrame, DataFrame]:
     """Staged good rows, and bad raw rows with the names of the columns that cannot be cast."""
     casts = {c.raw: cast_of(c.cast, timestamp_type) for c in entity.columns if c.cast}
-    broken = [f"case when {is_lossy(name, kind)} then {text(name)} end" for name, kind in casts.items()]
-    judged = raw.selectExpr("*", f"concat_ws(',', {', '.join(broken)}) as {REASON}")
-    good = stage(judged.where(f"{REASON} = ''"), entity, timestamp_type)
-    return good, judged.where(f"{REASON} <> ''")
+    lossy = {name: is_lossy(name, kind) for name, kind in casts.items()}
+    broken = " or ".join(lossy.values())
+    reasons = ", ".join(f"case when {test} then {text(name)} end" for name, test in lossy.items())
+    good = stage(raw.where(f"not ({broken})"), entity, timestamp_type)
+    return good, raw.where(broken).selectExpr("*", f"concat_ws(',', {reasons}) as {REASON}")
