@@ -2,28 +2,30 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, else one within the warehouse.
 
-    Only a local master may go without it: there a new temporary folder is used. On a cluster a
-    machine-local folder would lose data with its executor, so the setting is required.
+    Driver and executors share the warehouse as they share the tables in it, so neither is ever a
+    machine-local temporary folder on a cluster.
     """
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if folder:
-        return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="run-")
-    raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or f"{spark.conf.get(WAREHOUSE_DIR)}/_runs"
+    return folder.rstrip("/")
 
 
 def new_run(spark: SparkSession, name: str) -> str:
     """A path nobody else writes to, for one run of one operator."""
     return f"{shared_folder(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+
+
+def remove_run(spark: SparkSession, path: str) -> None:
+    """Deletes what a finished run has kept, by the file system that the path names."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
