@@ -18,6 +18,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from itertools import pairwise
 
 import public_tokenizers
 import pyarrow as pa
@@ -70,7 +71,7 @@ class Codec:
         for token, i in (self.ids | self.special).items():
             self.tokens[i] = token
         self.numbers = [str(i) for i in range(len(self.tokens))]
-        self.joined = {t[i : i + 2] for t in map(self._bare, self.ids) for i in range(len(t) - 1)}
+        self.joined = {pair for t in map(self._bare, self.ids) for pair in pairwise(t)}
         self._known: dict[str, tuple[int, ...]] = {}
         self._remembered = remembered
 
@@ -79,7 +80,9 @@ class Codec:
 
     def fragments(self, word: str) -> list[str]:
         """``word`` cut at every pair that occurs in no token."""
-        cuts = [i for i in range(1, len(word)) if word[i - 1 : i + 1] not in self.joined]
+        if self.joined.issuperset(pairwise(word)):
+            return [word]
+        cuts = [i for i, pair in enumerate(pairwise(word), 1) if pair not in self.joined]
         return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True)]
 
     def word(self, word: str) -> tuple[int, ...]:
@@ -90,9 +93,11 @@ class Codec:
 
     def _learn(self, chunk: str) -> tuple[int, ...]:
         """Ids of a normalized run without white space; remembered, as runs repeat."""
-        found: tuple[int, ...] = ()
-        for word in self._words(chunk):
-            found += self.word(word if word.isascii() else "".join(map(_BYTES.__getitem__, word.encode())))
+        words = self._words(chunk)
+        if words == [chunk]:
+            found = self.word(chunk if chunk.isascii() else "".join(map(_BYTES.__getitem__, chunk.encode())))
+        else:
+            found = tuple(i for word in words for i in (self._known.get(word) or self._learn(word)))
         if len(self._known) >= self._remembered:
             self._known.clear()
         self._known[chunk] = found
