@@ -40,8 +40,8 @@ from tidemark.llm.vectors import matrix, packed, tiled
 TOP = 20
 EVERY = 20
 TREES = 10
-LEAF = 1_024
-PROBE = 1.0
+LEAF = 2_048
+PROBE = 1.5
 LEAST_LEAVES = 32
 SAMPLE_ROWS = 16_384
 DEEPEST = 10
