@@ -7,7 +7,7 @@ each language. As mean and layer are linear, scoring adds up one row of class sc
 
 Calibration: a fifth of the sample is left out of training; the temperature that makes it likeliest scales
 the softmax. A text is rejected if its score is below the threshold: the ``reject_share`` quantile on the
-left-out rows, and never above one half.
+left-out rows, and never above the middle of pure chance and one half.
 
 Defined cases: a text that is null or has no letter gets ``und``, score 0 and is not accepted; repeated rows
 are labelled each; an empty table gives an empty result; without a sample every text gets ``und``.
@@ -30,6 +30,7 @@ from tidemark.llm.common import fresh, kept, pieces, table, utf8
 BITS = 16
 WIDTH = 16
 PER_LANGUAGE = 1_000
+BATCH = 16
 REJECT_SHARE = 0.001
 FOLDS, HELD_OUT = 3, 1
 UNKNOWN = "und"
@@ -109,11 +110,11 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, classes
     layer, bias = np.zeros((width, classes), np.float32), np.zeros(classes, np.float32)
     share = np.bincount(target, minlength=classes)
     worth = (share.sum() / np.maximum(share, 1) / classes).astype(np.float32)
-    steps, step, batch = max(1, epochs * -(-len(rows) // 16)), 0, 16
+    steps, step = max(1, epochs * -(-len(rows) // BATCH)), 0
     for _ in range(epochs):
         order = rng.permutation(len(rows))
-        for low in range(0, len(order), batch):
-            picked = order[low : low + batch]
+        for low in range(0, len(order), BATCH):
+            picked = order[low : low + BATCH]
             grams = np.concatenate([rows[i][0] for i in picked])
             part = np.concatenate([rows[i][1] for i in picked])
             sizes = [len(rows[i][0]) for i in picked]
@@ -124,7 +125,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, classes
             p *= worth[target[picked]][:, None]
             now = rate * (1 - step / steps)
             back = p @ layer.T
-            layer -= now * (x.T @ p) / 1
+            layer -= now * (x.T @ p) / len(picked)
             bias -= now * p.sum(0) / len(picked)
             np.subtract.at(embed, grams, now * np.repeat(back, sizes, axis=0) * part[:, None])
             step += 1
@@ -136,7 +137,7 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def fit(labelled: DataFrame, bits: int = BITS, width: int = WIDTH, epochs: int = 5, rate: float = 0.5, reject_share: float = REJECT_SHARE, seed: int = 7) -> Model:
+def fit(labelled: DataFrame, bits: int = BITS, width: int = WIDTH, epochs: int = 5, least_steps: int = 2_000, rate: float = 0.5, reject_share: float = REJECT_SHARE, seed: int = 7) -> Model:
     """Learns from ``key``, ``text``, ``lang``; the caller has bounded the rows of each language."""
     counts = kept(
         labelled.select("key", "text", "lang").mapInArrow(_counts_of(bits), "key bigint, lang string, counts binary"), "language-counts"
@@ -156,7 +157,8 @@ def fit(labelled: DataFrame, bits: int = BITS, width: int = WIDTH, epochs: int =
                 left_out.append(hash_of(key) % 5 == 0)
         target, left_out = np.array(target, np.int64), np.array(left_out, bool)
         mine = [r for r, out in zip(rows, left_out, strict=True) if not out]
-        embed, layer, bias = train(mine, target[~left_out], len(languages), bits, width, epochs, rate, seed)
+        rounds = max(epochs, -(-least_steps * BATCH // max(1, len(mine))))  # few rows are gone over more often
+        embed, layer, bias = train(mine, target[~left_out], len(languages), bits, width, rounds, rate, seed)
         scores = embed @ layer
         temperature, threshold = 1.0, 0.0
         if left_out.any():
@@ -164,7 +166,7 @@ def fit(labelled: DataFrame, bits: int = BITS, width: int = WIDTH, epochs: int =
             picks = target[left_out]
             loss = {t: -np.log(_softmax(logits / t)[np.arange(len(picks)), picks] + 1e-12).mean() for t in np.geomspace(0.05, 5, 40)}
             temperature = min(loss, key=loss.get)
-            threshold = min(0.5, float(np.quantile(_softmax(logits / temperature).max(1), reject_share)))
+            threshold = min((0.5 + min(0.5, 1 / len(languages))) / 2, float(np.quantile(_softmax(logits / temperature).max(1), reject_share)))
         return pd.DataFrame(
             {"scores": [(scores / temperature).astype(np.float32).tobytes()], "bias": [(bias / temperature).astype(np.float64).tobytes()], "threshold": [threshold]}
         )
