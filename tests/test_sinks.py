@@ -4,15 +4,14 @@ import pytest
 from conftest import explained, rows
 
 from tidemark.sinks import (
-    merge_into,
     overwrite_path,
     overwrite_self,
     probe_target,
-    publish,
     upsert_partitions,
     write_partitioned,
     write_target,
 )
+from tidemark.sinks import journal, upsert
 from tidemark.sinks.tables import arrange
 from tidemark.workspace import new_run
 
@@ -91,24 +90,49 @@ def test_upsert_of_null_days(spark, tmp_path):
     assert stored(spark, path) == [(1, D1, "A"), (2, D1, "B"), (3, D1, "c")]
 
 
-def test_upsert_is_idempotent_and_republishes(spark, tmp_path):
+def test_upsert_is_idempotent(spark, tmp_path):
     path = write_partitioned(facts(spark, (1, D1, "a"), (2, D2, "b")), str(tmp_path / "t"), "day")
     delta = facts(spark, (1, D2, "A"))
-    result = upsert_partitions(spark, path, delta, "k", "day")
+    upsert_partitions(spark, path, delta, "k", "day")
     once = stored(spark, path)
-    publish(spark, result.run, path, delta.schema, "day", (), result.rewritten)
-    assert stored(spark, path) == once
     upsert_partitions(spark, path, delta, "k", "day")
     assert stored(spark, path) == once
     assert upsert_partitions(spark, path, delta.where("k < 0"), "k", "day").rows == 0
 
 
+def test_a_publish_that_was_cut_off_is_finished(spark, tmp_path, monkeypatch):
+    """Half of the days are placed, then the run dies; the next one finishes them before it does its own."""
+    path = write_partitioned(facts(spark, (1, D1, "a"), (2, D2, "b"), (3, D3, "c")), str(tmp_path / "t"), "day")
+    whole = upsert.write_partitioned
+
+    def half(df, *args, **kwargs):
+        whole(df.where(df.day <= D1), *args, **kwargs)
+        raise OSError("cut off")
+
+    with monkeypatch.context() as cut, pytest.raises(OSError):
+        cut.setattr(upsert, "write_partitioned", half)
+        upsert_partitions(spark, path, facts(spark, (1, D1, "A"), (2, D3, "B")), "k", "day")
+    assert journal.pending(spark, path)["days"] == [d.isoformat() for d in (D1, D2, D3)]
+    assert upsert_partitions(spark, path, facts(spark, (4, D2, "d")), "k", "day").rows == 1
+    assert stored(spark, path) == [(1, D1, "A"), (2, D3, "B"), (3, D3, "c"), (4, D2, "d")]
+    assert journal.pending(spark, path) is None
+
+
+def test_a_full_write_that_was_cut_off_does_not_count(spark, tmp_path, monkeypatch):
+    path, whole = str(tmp_path / "t"), upsert.write_partitioned
+
+    def half(df, *args, **kwargs):
+        whole(df.where(df.day <= D1), *args, **kwargs)
+        raise OSError("cut off")
+
+    with monkeypatch.context() as cut, pytest.raises(OSError):
+        cut.setattr(upsert, "write_partitioned", half)
+        upsert.write_in_full(facts(spark, (1, D1, "a"), (2, D2, "b")), path, "day")
+    assert not upsert.recover(spark, path)
+    upsert.write_in_full(facts(spark, (1, D1, "a"), (2, D2, "b")), path, "day")
+    assert upsert.recover(spark, path) and stored(spark, path) == [(1, D1, "a"), (2, D2, "b")]
+
+
 def test_upsert_needs_a_date(spark, tmp_path):
     with pytest.raises(TypeError):
         upsert_partitions(spark, str(tmp_path), facts(spark), "k", "v")
-
-
-def test_merge_needs_a_format_that_has_it(spark):
-    spark.range(2).write.mode("overwrite").saveAsTable("plain_parquet")
-    with pytest.raises(Exception, match="(?i)merge|unsupported"):
-        merge_into(spark.range(1), "plain_parquet", "id")

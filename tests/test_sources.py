@@ -74,18 +74,13 @@ def test_workspace(spark, settings):
     assert new_run(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
-class Cluster:
-    """A session on a cluster without the setting."""
+class Session:
+    """A session with some settings."""
 
-    class conf:
-        @staticmethod
-        def get(key, default=None):
-            return default
+    def __init__(self, **settings):
+        self.conf = {key.replace("__", "."): value for key, value in settings.items()}
 
-    class sparkContext:
-        master = "k8s://somewhere"
 
-
-def test_a_cluster_must_name_its_shared_folder():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(Cluster)
+def test_runs_lie_in_the_shared_folder_or_the_warehouse():
+    assert shared_folder(Session(spark__checkpoint__dir="hdfs:/shared/")) == "hdfs:/shared"
+    assert shared_folder(Session(spark__sql__warehouse__dir="s3a://lake/tables")) == "s3a://lake/tables/_runs"

@@ -11,10 +11,10 @@ from tidemark.operators.joins import enrich_transactions
 from tidemark.operators.marks import Marks, incremental_rows, touched_keys
 from tidemark.operators.versions import current_rows
 from tidemark.schemas import ACCOUNTS, AUDIT, FCT_AUDIT_COLUMNS, FCT_TRANSACTIONS_COLUMNS, TRANSACTIONS, USERS, Entity
-from tidemark.sinks.tables import store, write_partitioned, write_target
-from tidemark.sinks.upsert import UpsertResult, upsert_partitions
+from tidemark.sinks.tables import store, write_target
+from tidemark.sinks.upsert import UpsertResult, recover, upsert_partitions, write_in_full
 from tidemark.sources.parquet import probe_path, read_parquet
-from tidemark.workspace import new_run
+from tidemark.workspace import new_run, remove_run
 
 # Layout of the two facts.
 TRANSACTION_DAY = "transaction_date"
@@ -72,7 +72,7 @@ def load_dimension(df: DataFrame, target: str, fmt: str = "parquet") -> str:
 
 def load_fct_audit(staged_audit: DataFrame, path: str) -> str:
     """Full refresh, one folder per day."""
-    return write_partitioned(fct_audit(staged_audit), path, AUDIT_DAY, AUDIT_CLUSTER)
+    return write_in_full(fct_audit(staged_audit), path, AUDIT_DAY, AUDIT_CLUSTER)
 
 
 def load_fct_transactions(
@@ -113,14 +113,20 @@ def load_incremental(
     ``facts`` turns current rows into rows of the fact. An existing but empty target has no marks, so
     nothing passes them; ``empty_means_full`` loads everything in that case. The marks are fetched as
     plain values, by which the scan of the log can skip row groups.
+
+    A publish that an earlier run left half done is finished before the marks are taken, and a full write
+    that was cut off is made again, so that no row stays below marks it never reached.
     """
     everything = facts(current_rows(staged, entity))
-    if not full_refresh and probe_path(spark, path) is not None:
+    if not full_refresh and recover(spark, path) and probe_path(spark, path) is not None:
         target = read_parquet(spark, path, schema=everything.schema)
         if not (empty_means_full and target.isEmpty()):
             marks = Marks.fetched(target)
-            touched = store(touched_keys(staged, entity, marks), f"{new_run(spark, 'touched')}/keys")
+            run = new_run(spark, "touched")
+            touched = store(touched_keys(staged, entity, marks), run)
             delta = facts(incremental_rows(staged, entity, marks, touched))
-            return upsert_partitions(spark, path, delta, entity.key, partition_by, cluster_by)
-    write_partitioned(everything, path, partition_by, cluster_by)
+            result = upsert_partitions(spark, path, delta, entity.key, partition_by, cluster_by)
+            remove_run(spark, run)
+            return result
+    write_in_full(everything, path, partition_by, cluster_by)
     return None

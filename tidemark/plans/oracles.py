@@ -329,11 +329,12 @@ BODIES = {
     left join int_accounts r on t.to_account_id = r.account_id""",
     "merge_upsert": _MERGE,
     "resolve_collisions": """
-    select u.user_id, u.email, u.last_name, u.country, u.marital_status, u.kyc_status,
+    select coalesce(u.user_id, a.user_id) as user_id, u.email, u.first_name, u.last_name, u.country,
+        u.marital_status, u.kyc_status, u.created_at,
         u.last_updated_at as user_last_updated_at, u.ingested_at as user_ingested_at,
         a.account_id, cast(a.balance as double) as balance, a.currency,
         a.last_updated_at as account_last_updated_at, a.ingested_at as account_ingested_at
-    from int_users u join int_accounts a on u.user_id = a.user_id""",
+    from int_users u full join int_accounts a on u.user_id = a.user_id""",
     "high_water_mark": "select max(last_updated_at) as last_updated_at, max(ingested_at) as ingested_at from first_load",
     "incremental_delta": _all_of("delta"),
     "incremental_delta_full_rank": _all_of("delta"),
@@ -344,17 +345,20 @@ BODIES = {
     select * from first_audit where log_id not in (select log_id from audit_delta )
     union all select * from audit_delta""",
     "upsert_emptied_days": """
-    select * replace (event_date + cast(day(event_date) % 2 as integer) as event_date) from first_audit""",
+    select * replace (event_date + cast(day(event_date) % 2 as integer) as event_date) from fct_audit""",
     "stream_upsert": _all_of("fct_audit"),
     "dim_users": _all_of("int_users"),
     "dim_accounts": _all_of("int_accounts"),
     "fct_transactions": _all_of("fct_transactions"),
+    "fct_transactions_load": f"""
+    {_all_of('first_load', 'where transaction_id not in (select transaction_id from delta )')}
+    union all {_all_of('delta')}""",
     "fct_audit": _all_of("fct_audit"),
     "sink_overwrite": """
-    select * replace (cast(balance + 1 as double) as balance) from int_accounts where currency = 'EUR'""",
+    select * replace (cast(balance + 1 as double) as balance) from int_accounts""",
     "partitioned_write": """
     select event_date, action, count(*) as row_count, max(event_timestamp) as last_event
-    from fct_audit where event_date >= date '2024-01-10' group by all""",
+    from fct_audit group by all""",
     "row_count_metrics": " union all ".join(
         f"select '{name}' as table_name, (select count(*) from stg_{name} ) as rows_read,"
         f" (select count(*) from int_{name} ) as rows_kept"
@@ -367,7 +371,7 @@ BODIES = {
     "evolving_load": """
     select user_id, email, first_name, last_name, country, cast(null as varchar) as marital_status, kyc_status,
         created_at, timestamp '2024-07-01 00:00:00' as ingested_at, upper(country) as segment
-    from raw_users where kyc_status = 'verified'""",
+    from raw_users""",
     "harmonize_schema": """
     select user_id, email, first_name, last_name, cast(null as varchar) as country, marital_status, kyc_status,
         created_at, cast(null as timestamp) as last_updated_at, cast(null as timestamp) as ingested_at,
@@ -393,11 +397,14 @@ BODIES = {
     "dq_relationships": "select * from orphans",
     "dq_report": " union all ".join(_NOT_NULL_RULES + _OTHER_RULES),
     "dq_failures": """
-    select 'not_null_fct_transactions_amount' as rule_name, transaction_id, cast(amount as double) as amount
-    from fct_transactions where amount is null
-    union all
-    select 'accepted_range_fct_transactions_amount', transaction_id, cast(amount as double)
-    from fct_transactions where amount < 0""",
+    select 'not_null_dim_users_user_id' as rule_name, cast(null as varchar) as value from int_users where user_id is null
+    union all select 'not_null_dim_accounts_account_id', null from int_accounts where account_id is null
+    union all select 'not_null_dim_accounts_user_id', null from int_accounts where user_id is null
+    union all select 'not_null_fct_transactions_transaction_id', null from fct_transactions where transaction_id is null
+    union all select 'not_null_fct_transactions_amount', null from fct_transactions where amount is null
+    union all select 'accepted_range_fct_transactions_amount', cast(cast(amount as decimal(18, 4)) as varchar)
+    from fct_transactions where amount < 0
+    union all select 'relationships_dim_accounts_user_id', cast(cast(user_id as decimal(18, 4)) as varchar) from orphans""",
     "quarantine_split": """
     select 'good' as verdict, "type" as item, count(*) as row_count,
         cast(sum(cast(to_account as bigint)) as bigint) as account_sum

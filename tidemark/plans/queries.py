@@ -6,6 +6,7 @@ Decimals leave as doubles and timestamps stay zone-less, so that results compare
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -204,10 +205,10 @@ def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def resolve_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users and accounts joined on the owner, their like-named clocks kept apart."""
-    users = marts.dim_users(_staged(spark, sf_dir, USERS)).drop("created_at", "first_name")
+    users = marts.dim_users(_staged(spark, sf_dir, USERS))
     accounts = marts.dim_accounts(_staged(spark, sf_dir, ACCOUNTS))
     left, right = separate(users, accounts, ["user_id"], "user_", "account_")
-    return _portable(left.join(right, "user_id"))
+    return _portable(left.join(right, "user_id", "full"))
 
 
 # --- increments --------------------------------------------------------------------------------------
@@ -282,7 +283,7 @@ def partitioned_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_emptied_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An upsert that moves every row of the odd days on by a day, so that these are left empty."""
-    facts = _first_audit(spark, sf_dir)
+    facts = marts.fct_audit(_staged(spark, sf_dir, AUDIT))
     path = write_partitioned(facts, new_run(spark, "moved"), marts.AUDIT_DAY, marts.AUDIT_CLUSTER)
     moved = facts.where(F.dayofmonth("event_date") % 2 == 1).withColumn("event_date", F.date_add("event_date", 1))
     upsert_partitions(spark, path, moved, AUDIT.key, marts.AUDIT_DAY, marts.AUDIT_CLUSTER)
@@ -315,11 +316,15 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _portable(marts.dim_users(_staged(spark, sf_dir, USERS)))
+    """The users dimension, written and read back."""
+    path = marts.load_dimension(marts.dim_users(_staged(spark, sf_dir, USERS)), new_run(spark, "dim_users"))
+    return _portable(read_parquet(spark, path))
 
 
 def dim_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _portable(marts.dim_accounts(_staged(spark, sf_dir, ACCOUNTS)))
+    """The accounts dimension, written and read back."""
+    path = marts.load_dimension(marts.dim_accounts(_staged(spark, sf_dir, ACCOUNTS)), new_run(spark, "dim_accounts"))
+    return _portable(read_parquet(spark, path))
 
 
 def fct_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -328,8 +333,23 @@ def fct_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fct_transactions_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored fact after a first load of what an earlier run saw, an increment, and a run that finds nothing."""
+    path = new_run(spark, "fct_transactions_load")
+    transactions, accounts = _staged(spark, sf_dir, TRANSACTIONS), _staged(spark, sf_dir, ACCOUNTS)
+    seen = (F.col("_airbyte_extracted_at") <= _ntz(FIRST_LOAD_UNTIL)) & (F.col("transaction_id") % HELD_BACK != 0)
+    marts.load_fct_transactions(spark, transactions.where(seen), accounts, path)
+    for _ in range(2):
+        marts.load_fct_transactions(spark, transactions, accounts, path)
+    schema = marts.fct_transactions(transactions, accounts).schema
+    return _portable(read_parquet(spark, path, schema=schema).select(*schema.names))
+
+
 def fct_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _portable(marts.fct_audit(_staged(spark, sf_dir, AUDIT)))
+    """The audit fact, written by day and read back."""
+    staged = _staged(spark, sf_dir, AUDIT)
+    path = marts.load_fct_audit(staged, new_run(spark, "fct_audit"))
+    return _portable(read_parquet(spark, path, schema=marts.fct_audit(staged).schema))
 
 
 # --- sinks and loads ---------------------------------------------------------------------------------
@@ -339,19 +359,17 @@ def sink_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accounts are written, then overwritten by a frame that reads them."""
     path = new_run(spark, "dim_accounts")
     stored = store(marts.dim_accounts(_staged(spark, sf_dir, ACCOUNTS)), path)
-    overwrite_self(stored.where("currency = 'EUR'").withColumn("balance", F.col("balance") + 1), path)
+    overwrite_self(stored.withColumn("balance", F.col("balance") + 1), path)
     return _portable(read_parquet(spark, path))
 
 
 def partitioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The audit fact written by day; read back with the days of one month pruned to."""
+    """The audit fact written by day and read back by day and action."""
     audit = marts.fct_audit(_staged(spark, sf_dir, AUDIT))
     path = write_partitioned(audit, new_run(spark, "fct_audit"), marts.AUDIT_DAY, marts.AUDIT_CLUSTER)
     stored = read_parquet(spark, path, schema=audit.schema)
-    return (
-        stored.where(F.col("event_date") >= F.lit("2024-01-10").cast("date"))
-        .groupBy("event_date", "action")
-        .agg(F.count(F.lit(1)).alias("row_count"), F.max("event_timestamp").alias("last_event"))
+    return stored.groupBy("event_date", "action").agg(
+        F.count(F.lit(1)).alias("row_count"), F.max("event_timestamp").alias("last_event")
     )
 
 
@@ -386,7 +404,7 @@ def evolving_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     overwrite_path(users, f"{path}/first")
     loads.evolving_load(spark, f"{path}/first", target, _ntz("2024-06-01 00:00:00"))
     overwrite_path(
-        users.where("kyc_status = 'verified'").drop("marital_status").withColumn("segment", F.upper("country")),
+        users.drop("marital_status").withColumn("segment", F.upper("country")),
         f"{path}/second",
     )
     loads.evolving_load(spark, f"{path}/second", target, _ntz(AS_OF))
@@ -456,14 +474,19 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Failing rows of the amount rules, stored and read back."""
-    rules = [rule for rule in quality.MART_RULES if rule.column == "amount"]
-    stored = quality.store_failures(_marts(spark, sf_dir), rules, folder=new_run(spark, "test_failures"))
+    """Failing rows of all rules, stored and read back: the rule and the value of its column, as text."""
+    run = new_run(spark, "test_failures")
+    # The marts are stored once, so that no rule builds them again.
+    tables = {name: store(df, f"{run}/marts/{name}") for name, df in _marts(spark, sf_dir).items()}
+    stored = quality.store_failures(tables, quality.MART_RULES, folder=f"{run}/failures")
+    columns = {rule.name: rule.column for rule in quality.MART_RULES}
     parts = [
-        read_parquet(spark, path).select(F.lit(name).alias("rule_name"), "transaction_id", "amount")
+        read_parquet(spark, path).select(
+            F.lit(name).alias("rule_name"), F.col(columns[name]).cast("double").cast("decimal(18,4)").cast("string").alias("value")
+        )
         for name, path in stored.items()
     ]
-    return _portable(parts[0].unionByName(parts[1]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _malformed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -528,6 +551,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         dim_users,
         dim_accounts,
         fct_transactions,
+        fct_transactions_load,
         fct_audit,
         sink_overwrite,
         partitioned_write,

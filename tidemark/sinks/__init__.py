@@ -9,19 +9,20 @@ from tidemark.sinks.tables import (
     write_partitioned,
     write_target,
 )
-from tidemark.sinks.upsert import UpsertResult, merge_into, publish, upsert_frame, upsert_partitions
+from tidemark.sinks.upsert import UpsertResult, publish, recover, upsert_frame, upsert_partitions, write_in_full
 
 __all__ = [
     "UpsertResult",
-    "merge_into",
     "overwrite_path",
     "overwrite_self",
     "overwrite_table",
     "probe_target",
     "publish",
+    "recover",
     "store",
     "upsert_frame",
     "upsert_partitions",
+    "write_in_full",
     "write_partitioned",
     "write_target",
 ]

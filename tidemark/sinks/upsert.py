@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
@@ -10,11 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructType
 
-from tidemark.functions import column, quoted
+from tidemark.functions import column
 from tidemark.operators.metrics import count_rows
+from tidemark.sinks import journal
 from tidemark.sinks.tables import overwrite_path, store, write_partitioned
 from tidemark.sources.parquet import read_parquet
-from tidemark.workspace import new_run
+from tidemark.workspace import new_run, remove_run
 
 # Fixed value: folder name Spark gives the null partition.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -22,12 +24,11 @@ NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 @dataclass(frozen=True)
 class UpsertResult:
-    """Rows in the increment, days rewritten, days left without rows, and where the new files are kept."""
+    """Rows in the increment, days rewritten, and days left without rows."""
 
     rows: int
     rewritten: tuple[date | None, ...]
     emptied: tuple[date | None, ...]
-    run: str
 
 
 def upsert_frame(target: DataFrame, delta: DataFrame, key: str) -> DataFrame:
@@ -48,9 +49,11 @@ def upsert_partitions(
 
     A row may move to another day, so the days to rewrite are those the increment's keys are stored under
     now and those they go to. Only these are read in full. Their new content goes to the shared folder
-    first, without layout, and from there into the target: it is not overwritten while it is being read,
-    and a publish that was cut off can be repeated.
+    first, without layout, and from there into the target: it is not overwritten while it is being read.
+    A record beside the target names that copy while the target is being changed, so that ``recover`` can
+    finish a publish that was cut off; the copy goes once all is in place.
     """
+    recover(spark, target)
     if not isinstance(delta.schema[partition_by].dataType, DateType):
         raise TypeError(f"{partition_by} must be a date")
     run = new_run(spark, "upsert")
@@ -61,7 +64,8 @@ def upsert_partitions(
     delta = store(counted, f"{run}/delta")
     delta_rows = rows.get["rows"]
     if delta_rows == 0:
-        return UpsertResult(0, (), (), run)
+        remove_run(spark, run)
+        return UpsertResult(0, (), ())
     stored = _read_target(spark, target, schema)
 
     keys = delta.select(column(key))
@@ -72,8 +76,36 @@ def upsert_partitions(
     # partition folders, which the driver holds for any read of the target.
     rewritten = upsert_frame(stored.where(_is_day(partition_by, affected)), delta, key)
     overwrite_path(rewritten, f"{run}/rewritten")
+    days = [day if day is None else day.isoformat() for day in affected]
+    record = {"run": run, "schema": schema.json(), "partition_by": partition_by, "cluster_by": list(cluster_by), "days": days}
+    journal.begin(spark, target, record)
     emptied = publish(spark, run, target, schema, partition_by, cluster_by, affected)
-    return UpsertResult(delta_rows, affected, emptied, run)
+    journal.end(spark, target)
+    remove_run(spark, run)
+    return UpsertResult(delta_rows, affected, emptied)
+
+
+def recover(spark: SparkSession, target: str) -> bool:
+    """Finish a publish that was cut off; ``False`` if it was a full write, which has to be made again."""
+    record = journal.pending(spark, target)
+    if record is None:
+        return True
+    if record.get("full"):
+        return False
+    schema = StructType.fromJson(json.loads(record["schema"]))
+    days = tuple(day if day is None else date.fromisoformat(day) for day in record["days"])
+    publish(spark, record["run"], target, schema, record["partition_by"], record["cluster_by"], days)
+    journal.end(spark, target)
+    remove_run(spark, record["run"])
+    return True
+
+
+def write_in_full(df: DataFrame, target: str, partition_by: str, cluster_by: Sequence[str] = ()) -> str:
+    """Replace the whole target; one that was cut off does not count as loaded."""
+    journal.begin(df.sparkSession, target, {"full": True})
+    write_partitioned(df, target, partition_by, cluster_by)
+    journal.end(df.sparkSession, target)
+    return target
 
 
 def publish(
@@ -98,19 +130,6 @@ def publish(
     return emptied
 
 
-def merge_into(delta: DataFrame, table: str, key: str) -> None:
-    """The same upsert for table formats that bring their own ``MERGE``."""
-    (
-        delta.alias("source")
-        .mergeInto(table, F.expr(f"{table}.{quoted(key)} = source.{quoted(key)}"))
-        .whenMatched()
-        .updateAll()
-        .whenNotMatched()
-        .insertAll()
-        .merge()
-    )
-
-
 def _read_target(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return read_parquet(spark, path, schema=schema).select(*[column(name) for name in schema.names])
 

@@ -16,8 +16,8 @@ from tidemark.operators.marks import keep_keys
 from tidemark.operators.staging import stage
 from tidemark.operators.versions import current_rows, live_rows
 from tidemark.schemas import Entity
-from tidemark.sinks.tables import store, write_partitioned
-from tidemark.sinks.upsert import upsert_partitions
+from tidemark.sinks.tables import store
+from tidemark.sinks.upsert import recover, upsert_partitions, write_in_full
 from tidemark.sources.parquet import probe_path, read_parquet
 from tidemark.workspace import new_run
 
@@ -44,8 +44,8 @@ def upsert_arrivals(
     def load(batch: DataFrame, _batch_id: int) -> None:
         session = batch.sparkSession
         log = stage(read_parquet(session, landing, schema=schema), entity, timestamp_type)
-        if probe_path(session, target) is None:
-            write_partitioned(facts(current_rows(log, entity)), target, partition_by, cluster_by)
+        if not recover(session, target) or probe_path(session, target) is None:
+            write_in_full(facts(current_rows(log, entity)), target, partition_by, cluster_by)
             return
         arrived = live_rows(stage(batch, entity, timestamp_type)).selectExpr(quoted(entity.key)).distinct()
         touched = keep_keys(live_rows(log), store(arrived, new_run(session, "arrived")), entity.key)
