@@ -87,7 +87,8 @@ def remove_repeated_windows(docs: DataFrame, text: str = "text", doc_id: str = "
     covered = kept(covered.groupBy("key1", "key2").agg(F.collect_set("place").alias("places")), "covered-lines")
     one, two, gone = fresh(docs, "_key1"), fresh(docs, "_key2"), fresh(docs, "_places")
     covered = covered.select(F.col("key1").alias(one), F.col("key2").alias(two), F.col("places").alias(gone))
-    joined = docs.withColumns({one: key1, two: key2}).join(covered, [one, two], "left")
+    # Always a sort-merge join: its shuffle grows with the texts alone, not with what a broadcast happens to hold.
+    joined = docs.withColumns({one: key1, two: key2}).join(covered.hint("merge"), [one, two], "left")
     lines = F.split(value, "\n", -1)
     left = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains(column(gone), i)), "\n")
     cleaned = F.when(value.isNotNull() & column(gone).isNotNull(), left).otherwise(value)
