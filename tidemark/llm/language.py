@@ -222,9 +222,13 @@ def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFr
     ids = docs.where("doc_id is not null and lang is not null and text is not null").where(
         F.crc32(F.col("doc_id").cast("string")) % FOLDS != HELD_OUT
     )
-    # Ranked by hash within each language; each task keeps its own first rows before the shuffle.
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit("sample")), "doc_id")
-    ids = ids.select("doc_id", "lang").withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
+    # Hashes below twice the share that is wanted leave a bounded number of rows of each language to rank, however
+    # many it has; the rank then picks the first of them.
+    ids = ids.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 40)).alias("draw"))
+    counts = ids.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("n"))
+    few = ids.join(counts, F.col("lang") == F.col("of")).where(F.col("draw").cast("double") * F.col("n") < F.lit(2.0 * per_language * (1 << 40)))
+    order = Window.partitionBy("lang").orderBy("draw", "doc_id")
+    ids = few.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
     ids = kept(ids.select("doc_id", "lang").dropDuplicates(["doc_id"]), "language-ids")
     return docs.select("doc_id", "text").join(ids, "doc_id").select(F.col("doc_id").cast("bigint").alias("key"), "text", "lang")
 
