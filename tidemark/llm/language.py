@@ -226,7 +226,8 @@ def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFr
     # many it has; the rank then picks the first of them.
     ids = ids.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 40)).alias("draw"))
     counts = ids.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("n"))
-    few = ids.join(counts, F.col("lang") == F.col("of")).where(F.col("draw").cast("double") * F.col("n") < F.lit(2.0 * per_language * (1 << 40)))
+    # One row a class of the model, which itself goes to every task with far more for each class.
+    few = ids.join(F.broadcast(counts), F.col("lang") == F.col("of")).where(F.col("draw").cast("double") * F.col("n") < F.lit(2.0 * per_language * (1 << 40)))
     order = Window.partitionBy("lang").orderBy("draw", "doc_id")
     ids = few.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
     ids = kept(ids.select("doc_id", "lang").dropDuplicates(["doc_id"]), "language-ids")
