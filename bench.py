@@ -37,6 +37,13 @@ HEADLINE = (
     "contract_check",
     "dq_report",
     "quarantine_split",
+    "partitioned_upsert",
+    "upsert_emptied_days",
+    "stream_upsert",
+    "fct_transactions_load",
+    "evolving_load",
+    "row_count_metrics",
+    "dq_failures",
 )
 
 

@@ -115,3 +115,36 @@ def test_both_lookups_share_one_shuffle_of_the_accounts(spark, settings):
     owners = accounts(spark).groupBy("account_id").agg({"user_id": "max"}).toDF("account_id", "user_id")
     plan = final_plan(enrich_transactions(facts, owners))
     assert "ReusedExchange" in plan
+
+
+def test_merge_matches_names_as_the_session_does(spark):
+    main = spark.createDataFrame([(1, "a"), (2, "c")], "id int, country string")
+    update = spark.createDataFrame([("b", 1), ("d", 3)], "Country string, ID int")
+    found = merge_upsert(main, update, ["Id"])
+    assert found.columns == ["id", "country"]
+    assert rows(found) == [(1, "b"), (2, "c"), (3, "d")]
+
+
+@pytest.mark.parametrize("hot", ["7", "null"])
+def test_a_hot_key_of_a_merge_is_spread(spark, settings, hot):
+    """A third of the update shares a key that ``main`` lacks, or has none: no task gets it all and none is lost."""
+    settings(
+        **NO_BROADCAST,
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="100KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="100KB",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+    )
+    main = spark.range(1_000, 2_000).selectExpr("id", "'old' as payload")
+    update = spark.range(0, 60_000, 1, 8).selectExpr(
+        f"case when id % 3 = 0 then {hot} else id + 1500 end as id", "uuid() as payload"
+    )
+    found = merge_upsert(main, update, ["id"])
+    plan = final_plan(found)
+    assert "SortMergeJoin" in plan
+    assert ("skew=true" in plan) == (hot == "7")  # the null keys are spread beforehand
+    per_task = found.where("id is null").selectExpr("spark_partition_id() as task").groupBy("task").count()
+    if hot == "null":
+        assert per_task.agg({"count": "max"}).first()[0] < 5_000
+    matched = sum(1 for i in range(60_000) if i % 3 and i + 1500 < 2_000)
+    assert found.count() == 1_000 + 60_000 - matched

@@ -1,9 +1,11 @@
+import pyarrow.parquet as pq
 import pytest
 from conftest import explained, rows
 
 from tidemark.operators import marks as m
 from tidemark.operators.marks import Marks, high_water_mark, touched_keys
 from tidemark.schemas import Column, Entity
+from tidemark.session import JOB_CONF
 
 THING = Entity("things", "k", (Column("k", "k"), Column("v", "v")))
 
@@ -79,3 +81,21 @@ def test_fetched_marks_reach_the_scan(spark, tmp_path):
     found = incremental_rows(spark.read.parquet(path), THING, Marks.fetched(target(spark, [5])))
     plan = explained(found)
     assert "GreaterThan(_ab_cdc_updated_at" in plan and "GreaterThan(_airbyte_extracted_at" in plan
+
+
+def test_zoned_clocks_of_jobs_have_statistics(spark, settings, tmp_path):
+    """Written as jobs write them, a sorted log skips the row groups below a mark."""
+    name = "spark.sql.parquet.outputTimestampType"
+    settings(**{name.replace(".", "__"): JOB_CONF[name]})
+    log = spark.range(0, 200_000, 1, 1).selectExpr("timestamp_seconds(id) as clock")
+    log.write.option("parquet.block.size", 1 << 16).parquet(str(tmp_path / "log"))
+    (file,) = (tmp_path / "log").glob("*.parquet")
+    meta = pq.read_metadata(file)
+    assert meta.num_row_groups > 1
+    assert all(meta.row_group(i).column(0).statistics.has_min_max for i in range(meta.num_row_groups))
+    late = spark.read.parquet(str(tmp_path / "log")).where("clock >= timestamp_seconds(199000)")
+    assert late.count() == 1_000
+    plan = late._jdf.queryExecution().executedPlan()
+    late.collect()
+    scan = plan.collectLeaves().apply(0)
+    assert scan.metrics().apply("numOutputRows").value() < 200_000

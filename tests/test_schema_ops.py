@@ -21,9 +21,9 @@ def frame(spark, schema, *lines):
 def test_compare_schemas(spark):
     first, second = frame(spark, "a int, b string"), frame(spark, "a bigint, c string")
     assert compare_schemas(first, second) == [
-        "Column a has different types: IntegerType() vs LongType()",
-        "Column b is missing in second schema",
-        "Column c is missing in first schema",
+        "a: IntegerType() in the first frame, LongType() in the second",
+        "b: only the first frame has it",
+        "c: only the second frame has it",
     ]
     assert compare_schemas(first, first) == []
 
@@ -75,6 +75,33 @@ def test_contract(spark):
     enforce_contract({"t": frame(spark, "id int, _ab_cdc_lsn int"), "u": frame(spark, "id int")}, CONTRACT)
 
 
+def test_contract_of_an_empty_delivery(spark):
+    for found in (contract_check({}, CONTRACT, spark), contract_check({}, CONTRACT)):
+        assert rows(found) == [("t", "_ab_cdc_lsn", False, 0), ("t", "id", False, 0), ("u", "id", False, 0)]
+
+
+@pytest.mark.parametrize(
+    "source, values, target, lossy",
+    [
+        ("double", (1.5, 2.0, None, float("nan")), "bigint", 2),
+        ("string", ("1.23456789012", "1.5", "1.50000000000000", "1e-12", "1e2", "x", None), "decimal(38,9)", 3),
+        ("string", ("1", "1.5", "2.0"), "bigint", 2),
+        ("string", ("2024-01-01 10:00:00", "2024-01-01", "2024-01-01 00:00:00", "x"), "date", 2),
+        ("string", ("0.1", "x"), "double", 1),
+        ("int", (1, 2), "map<int,int>", 2),
+        ("bigint", (1, 1 << 40), "int", 1),
+    ],
+)
+def test_drift_counts_cut_values(spark, source, values, target, lossy):
+    drift = schema_drift(frame(spark, f"a {source}", *[(v,) for v in values]), frame(spark, f"a {target}"))
+    assert drift.first().lossy_rows == lossy
+
+
+def test_drift_counts_cut_times_of_day(spark):
+    clocks = spark.sql("select timestamp_ntz '2024-01-01 10:00:00' as a union all select timestamp_ntz '2024-01-01 00:00:00'")
+    assert schema_drift(clocks, frame(spark, "a date")).first().lossy_rows == 1
+
+
 def test_harmonize(spark):
     incoming = frame(spark, "b string, x int", ("v", 1))
     production = frame(spark, "a double, b string")
@@ -101,3 +128,14 @@ def test_resolve_collisions(spark):
     assert right.columns == ["id", "incoming_created_at", "m"]
     same = resolve_collisions(main.drop("created_at"), update, ["id"])
     assert [f.columns for f in same] == [["id", "n"], ["id", "created_at", "m"]]
+
+
+def test_collisions_match_names_as_the_session_does(spark):
+    left, right = resolve_collisions(frame(spark, "id int, country int"), frame(spark, "id int, Country int"), ["id"])
+    assert (left.columns, right.columns) == (["id", "prod_country"], ["id", "incoming_Country"])
+    assert left.join(right, "id").columns == ["id", "prod_country", "incoming_Country"]
+
+
+def test_a_taken_prefixed_name_is_an_error(spark):
+    with pytest.raises(ValueError, match="prod_c"):
+        resolve_collisions(frame(spark, "id int, c int, prod_c int"), frame(spark, "id int, c int"), ["id"])

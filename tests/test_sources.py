@@ -2,7 +2,7 @@ import pytest
 from conftest import rows
 from pyspark.sql.types import DateType, DecimalType, DoubleType, FloatType, IntegerType, LongType, StringType, TimestampType
 
-from tidemark.sources import Sources, probe_path, probe_table, read_generations, read_parquet, widen
+from tidemark.sources import Sources, probe_path, probe_table, read_delivery, read_generations, read_parquet, widen
 from tidemark.workspace import new_run, shared_folder
 
 
@@ -27,6 +27,16 @@ def test_conflicting_types_are_refused_by_merge_and_read_as_generations(spark, t
     assert rows(found) == [(1, "5"), (2, "x")]
 
 
+def test_a_delivery_of_conflicting_files_has_one_scan_for_each_schema(spark, tmp_path):
+    folder = tmp_path / "in put"
+    for day in range(4):
+        write(spark, folder / f"day={day}", "b int, s string" if day % 2 else "b bigint", *([(day, "x")] if day % 2 else [(day,)]))
+    found = read_delivery(spark, str(folder))
+    assert rows(found.select("b", "s", "day")) == [(0, None, 0), (1, "x", 1), (2, None, 2), (3, "x", 3)]
+    assert found.schema["b"].dataType == LongType()
+    assert found._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 2
+
+
 def test_declared_schema_widens_and_fills(spark, tmp_path):
     paths = [write(spark, tmp_path / "1", "b int", (1,)), write(spark, tmp_path / "2", "b bigint, c string", (2, "x"))]
     assert rows(read_parquet(spark, *paths, schema="b bigint, c string")) == [(1, None), (2, "x")]

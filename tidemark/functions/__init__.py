@@ -3,6 +3,7 @@
 from tidemark.functions.expressions import (
     column,
     is_lossy,
+    loses_value,
     past_marks,
     quoted,
     report_rows,
@@ -16,6 +17,7 @@ from tidemark.functions.expressions import (
 __all__ = [
     "column",
     "is_lossy",
+    "loses_value",
     "past_marks",
     "quoted",
     "report_rows",

@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, TimestampNTZType
+from pyspark.sql.types import DataType, DateType, DecimalType, FractionalType, NumericType, StringType, TimestampNTZType
 
 SECONDS_PER_DAY = 86400
 
@@ -65,6 +65,27 @@ def is_lossy(name: str, target: DataType | str) -> str:
     return f"({quoted(name)} is not null and try_cast({quoted(name)} as {target_name}) is null)"
 
 
+def loses_value(name: str, source: DataType, target: DataType) -> str:
+    """True where a value cannot be converted to ``target``, or comes back changed from it.
+
+    Text has many spellings of one value, so it is judged by what it says: digits behind the target's
+    scale, or a time of day where only the date stays.
+    """
+    value, kind = quoted(name), target.simpleString()
+    changed = "false"
+    if not isinstance(source, StringType):
+        changed = f"not (try_cast(try_cast({value} as {kind}) as {source.simpleString()}) <=> {value})"
+    elif isinstance(target, DateType):
+        clock = f"try_cast({value} as timestamp_ntz)"
+        changed = f"coalesce({clock} <> cast(try_cast({value} as date) as timestamp_ntz), false)"
+    elif isinstance(target, NumericType) and not (isinstance(target, FractionalType) and not isinstance(target, DecimalType)):
+        scale = target.scale if isinstance(target, DecimalType) else 0
+        digits = f"length(trim(trailing '0' from regexp_extract({value}, '[.]([0-9]*)', 1)))"
+        rounded = f"coalesce(try_cast(try_cast({value} as {kind}) as double) <> try_cast({value} as double), false)"
+        changed = f"case when {value} rlike '[eE]' then {rounded} else {digits} > {scale} end"
+    return f"({is_lossy(name, target)} or ({value} is not null and {changed}))"
+
+
 def past_marks(updated_mark: Column, ingested_mark: Column, updated: str, ingested: str) -> Column:
     """Strictly past either high-water mark; a null mark lets nothing through."""
     return (column(updated) > updated_mark) | (column(ingested) > ingested_mark)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
-from tidemark.functions import column, quoted, spread_nulls, typed_null
+from tidemark.functions import column, quoted, same_name, spread_nulls, typed_null
 
 _SPREAD = "__spread"
 _LOOKUP_SPREAD = "__lookup_spread"
@@ -54,21 +54,26 @@ def merge_upsert(main: DataFrame, update: DataFrame, keys: Sequence[str]) -> Dat
     """Update ``main`` from ``update`` and add the rows only ``update`` has.
 
     A null never overwrites a value; columns only ``update`` has are dropped; null keys match nothing;
-    several updates of one key each give a row, so reduce ``update`` with ``latest_by_key`` first.
+    several updates of one key each give a row, so reduce ``update`` with ``latest_by_key`` first. Names
+    match as the session resolves them and come out as ``main`` writes them. Both frames are read more
+    than once, so store those that are costly to compute.
 
     The full outer join this amounts to is written as a left join plus the unmatched updates. A full
     outer join always shuffles all of ``main`` and cannot split a hot key. The left join lets Spark
     broadcast an update it finds small, and adaptive execution split a hot key otherwise.
     """
-    keys = list(keys)
-    shared = [c for c in main.columns if c in update.columns]
-    hashable = [f.name for f in main.schema if not isinstance(f.dataType, MapType)]
+    fold = same_name(main.sparkSession)
+    known = {fold(c): c for c in main.columns}
+    keys = [known[fold(k)] for k in keys]
+    named = {fold(c): c for c in update.columns}
+    shared = [c for c in main.columns if fold(c) in named]
+    update = update.selectExpr(*[f"{quoted(named[fold(c)])} as {quoted(c)}" for c in shared])
     changed_keys = [_UPDATE + k for k in keys]
     changes = update.selectExpr(*[f"{quoted(c)} as {quoted(_UPDATE + c)}" for c in shared])
     changes = changes.selectExpr("*", f"{spread_nulls(changed_keys, changed_keys)} as {_LOOKUP_SPREAD}")
     match = [f"{quoted(k)} = {quoted(_UPDATE + k)}" for k in keys] + [f"{_SPREAD} = {_LOOKUP_SPREAD}"]
     merged = (
-        main.selectExpr("*", f"{spread_nulls(keys, hashable)} as {_SPREAD}")
+        main.selectExpr("*", f"{spread_nulls(keys, _hashable(main))} as {_SPREAD}")
         .join(changes, F.expr(" and ".join(match)), "left")
         .selectExpr(
             *[
@@ -86,13 +91,25 @@ def merge_upsert(main: DataFrame, update: DataFrame, keys: Sequence[str]) -> Dat
     return merged.union(added)
 
 
+def _hashable(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema if not isinstance(f.dataType, MapType)]
+
+
 def _without_match(main: DataFrame, update: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``update`` whose key ``main`` lacks.
 
-    The keys present in both are found first, one row each, so a key repeated in ``main`` weighs no more
-    than any other and a small update is compared with ``main`` without a shuffle.
+    The keys of ``main`` are reduced to one row each before they are shuffled, and only those that
+    ``update`` has go on, so a small result can be broadcast. Updates without a key match nothing: they
+    are scattered by a hash of the row, and a hot key's updates are split as in ``left_lookup``.
     """
     names = [quoted(k) for k in keys]
-    wanted = update.selectExpr(*names).distinct()
-    found = main.selectExpr(*names).join(wanted, list(keys), "left_semi").distinct()
-    return update.join(found, list(keys), "left_anti")
+    complete = " and ".join(f"{name} is not null" for name in names)
+    wanted = update.where(complete).selectExpr(*names).distinct()
+    found = main.where(complete).selectExpr(*names).distinct().join(wanted, list(keys), "left_semi")
+    found = found.selectExpr(
+        *[f"{quoted(k)} as {quoted(_LOOKUP + k)}" for k in keys],
+        f"{spread_nulls(keys, keys)} as {_LOOKUP_SPREAD}",
+    )
+    match = [f"{quoted(k)} = {quoted(_LOOKUP + k)}" for k in keys] + [f"{_SPREAD} = {_LOOKUP_SPREAD}"]
+    rows = update.selectExpr("*", f"{spread_nulls(keys, _hashable(update))} as {_SPREAD}")
+    return rows.join(found, F.expr(" and ".join(match)), "left_anti").drop(_SPREAD)

@@ -6,11 +6,11 @@ from collections.abc import Collection, Mapping
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from tidemark.functions import column, is_lossy, quoted, report_rows, same_name, text, typed_null
+from tidemark.functions import column, is_lossy, loses_value, quoted, report_rows, same_name, text, typed_null
 from tidemark.schemas import CONTRACT
 
 MISSING_IN_FIRST = "missing_in_first"
@@ -42,11 +42,10 @@ def compare_schemas(first: DataFrame, second: DataFrame) -> list[str]:
     fold = same_name(first.sparkSession)
     left = {fold(f.name): f.dataType for f in first.schema}
     right = {fold(f.name): f.dataType for f in second.schema}
-    # Wording of the three findings.
     wording = {
-        MISSING_IN_FIRST: "Column {name} is missing in first schema",
-        MISSING_IN_SECOND: "Column {name} is missing in second schema",
-        TYPE_DIFFERS: "Column {name} has different types: {first} vs {second}",
+        MISSING_IN_FIRST: "{name}: only the second frame has it",
+        MISSING_IN_SECOND: "{name}: only the first frame has it",
+        TYPE_DIFFERS: "{name}: {first} in the first frame, {second} in the second",
     }
     return sorted(
         wording[issue].format(name=name, first=left.get(fold(name)), second=right.get(fold(name)))
@@ -83,13 +82,17 @@ def schema_drift(incoming: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def _lost(df: DataFrame, name: str, target: DataType) -> str:
-    """Count of values without a conversion to ``target``; all of them if the types have none."""
-    lossy = f"count_if({is_lossy(name, target)})"
-    try:
-        df.selectExpr(lossy)
-    except AnalysisException:
-        return f"count({quoted(name)})"
-    return lossy
+    """Count of values that a conversion to ``target`` drops or cuts; all of them if the types have none.
+
+    Types that convert one way only, and those that do not compare, are judged by the conversion alone.
+    """
+    for lossy in (loses_value(name, df.schema[name].dataType, target), is_lossy(name, target)):
+        try:
+            df.selectExpr(f"count_if({lossy})")
+        except AnalysisException:
+            continue
+        return f"count_if({lossy})"
+    return f"count({quoted(name)})"
 
 
 def drift_status(drift: DataFrame) -> DataFrame:
@@ -134,10 +137,15 @@ def enforce_contract(
 
 
 def contract_check(
-    frames: Mapping[str, DataFrame], contract: Mapping[str, Collection[str]] = CONTRACT
+    frames: Mapping[str, DataFrame],
+    contract: Mapping[str, Collection[str]] = CONTRACT,
+    spark: SparkSession | None = None,
 ) -> DataFrame:
-    """Per required column: is it there, and how many rows hold a value. One pass per table."""
-    spark = next(iter(frames.values())).sparkSession
+    """Per required column: is it there, and how many rows hold a value. One pass per table.
+
+    A delivery without any table lacks every column; ``spark`` is then the session given, or the active one.
+    """
+    spark = spark or next((f.sparkSession for f in frames.values()), None) or SparkSession.active()
     missing = set(contract_violations(frames, contract))
     reports = []
     for table, required in contract.items():
@@ -182,9 +190,20 @@ def resolve_collisions(
     main_prefix: str = "prod_",
     update_prefix: str = "incoming_",
 ) -> tuple[DataFrame, DataFrame]:
-    """Prefix the columns both frames have, keys excepted, so that a join keeps them apart."""
-    clashing = (set(main.columns) & set(update.columns)) - set(join_keys)
-    return (
-        main.withColumnsRenamed({c: main_prefix + c for c in clashing}),
-        update.withColumnsRenamed({c: update_prefix + c for c in clashing}),
-    )
+    """Prefix the columns both frames have, keys excepted, so that a join keeps them apart.
+
+    Names clash as the session resolves them. A prefixed name that either frame has already is an error.
+    """
+    fold = same_name(main.sparkSession)
+    keys = {fold(k) for k in join_keys}
+    clashing = ({fold(c) for c in main.columns} & {fold(c) for c in update.columns}) - keys
+    renamed = []
+    taken: set[str] = set()
+    for df, prefix in ((main, main_prefix), (update, update_prefix)):
+        names = [prefix + c if fold(c) in clashing else c for c in df.columns]
+        for name in names:
+            if fold(name) in taken and fold(name) not in keys:
+                raise ValueError(f"the prefixed name {name} is taken by another column")
+            taken.add(fold(name))
+        renamed.append(df.select(*[column(c).alias(n) for c, n in zip(df.columns, names, strict=True)]))
+    return renamed[0], renamed[1]

@@ -12,13 +12,15 @@ from tidemark import schemas
 from tidemark.functions import quoted
 from tidemark.schemas import METADATA_COLUMNS, TIMESTAMP, Entity
 
+STAMP = "ingested_at"
+
 
 def strip_metadata(df: DataFrame, columns: Sequence[str] = METADATA_COLUMNS) -> DataFrame:
     """Drop the listed connector columns; names the frame lacks are ignored."""
     return df.drop(*columns)
 
 
-def stamp_ingested_at(df: DataFrame, as_of: datetime | str | Column | None = None, name: str = "ingested_at") -> DataFrame:
+def stamp_ingested_at(df: DataFrame, as_of: datetime | str | Column | None = None, name: str = STAMP) -> DataFrame:
     """Add the load time: ``as_of``, or the time the query runs."""
     if as_of is None:
         stamp = F.current_timestamp()

@@ -10,10 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from tidemark.operators.metrics import count_rows
 from tidemark.operators.schema_ops import compare_schemas, harmonize_schema
-from tidemark.operators.staging import stamp_ingested_at, strip_metadata
+from tidemark.operators.staging import STAMP, stamp_ingested_at, strip_metadata
 from tidemark.schemas import METADATA_COLUMNS
 from tidemark.sinks.tables import probe_target, write_target
-from tidemark.sources.parquet import read_parquet
+from tidemark.sources.parquet import read_delivery
 
 
 @dataclass(frozen=True)
@@ -34,8 +34,8 @@ def raw_load(
     drop_columns: Sequence[str] = METADATA_COLUMNS,
     fmt: str = "parquet",
 ) -> LoadResult:
-    """Scan a delivery with schema merge, drop connector columns, stamp it, overwrite the table."""
-    source = read_parquet(spark, path, merge_schema=True)
+    """Scan a delivery with all its files' columns, drop connector columns, stamp it, overwrite the table."""
+    source = read_delivery(spark, path)
     return _write_counted(source, lambda df: stamp_ingested_at(strip_metadata(df, drop_columns), as_of), target, fmt)
 
 
@@ -48,11 +48,11 @@ def evolving_load(
 ) -> LoadResult:
     """Overwrite the table with a delivery, in the shape of the live table where the two differ.
 
-    Without a live table the delivery's own shape is taken.
+    Without a live table the delivery's own shape is taken. The stamp of an earlier load is no difference.
     """
-    incoming = read_parquet(spark, path)
+    incoming = read_delivery(spark, path)
     production = probe_target(spark, target, fmt)
-    discrepancies = [] if production is None else compare_schemas(incoming, production)
+    discrepancies = [] if production is None else compare_schemas(incoming.drop(STAMP), production.drop(STAMP))
 
     def transform(df: DataFrame) -> DataFrame:
         return stamp_ingested_at(harmonize_schema(df, production) if discrepancies else df, as_of)

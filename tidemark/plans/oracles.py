@@ -313,6 +313,9 @@ BODIES = {
     "stg_accounts": _all_of("stg_accounts"),
     "stg_transactions": _all_of("stg_transactions"),
     "stg_audit": _all_of("stg_audit"),
+    "stg_transactions_exact": """
+    select * replace (cast(amount as varchar) as amount, cast(_ab_cdc_lsn as varchar) as _ab_cdc_lsn)
+    from stg_transactions""",
     "live_rows": _all_of("stg_transactions", "where _ab_cdc_deleted_at is null"),
     "int_users": _all_of("int_users"),
     "int_accounts": _all_of("int_accounts"),
@@ -368,6 +371,10 @@ BODIES = {
     select user_id, email, first_name, last_name, case when not ({_SEEN}) then country end as country,
         marital_status, kyc_status, created_at, timestamp '2024-07-01 00:00:00' as ingested_at
     from raw_users""",
+    "raw_load_conflict": f"""
+    select account_id, cast(user_id as bigint) as user_id, balance, currency, timestamp '2024-07-01 00:00:00' as ingested_at,
+        case when {_SEEN} then 1 else 2 end as delivery
+    from raw_accounts""",
     "evolving_load": """
     select user_id, email, first_name, last_name, country, cast(null as varchar) as marital_status, kyc_status,
         created_at, timestamp '2024-07-01 00:00:00' as ingested_at, upper(country) as segment
@@ -378,6 +385,12 @@ BODIES = {
         upper(last_name) as segment
     from raw_users""",
     "schema_drift": _drift(),
+    "schema_drift_truncation": """
+    select 'account_id' as column_name, 'type_differs' as issue, count(*) as incoming_rows,
+        count(*) filter (where account_id % 5 = 0) as lossy_rows from int_accounts
+    union all select 'balance', 'type_differs', count(balance), count(balance) filter (where account_id % 3 = 0) from int_accounts
+    union all select 'last_updated_at', 'type_differs', count(*), count(*) filter (where account_id % 2 = 1) from int_accounts
+    union all select 'user_id', 'type_differs', count(user_id), count(*) filter (where user_id % 7 = 0) from int_accounts""",
     "drift_status": f"""
     select case when count(*) filter (where issue in ('missing_in_first', 'type_differs')) > 0 then 'breaking'
                 when count(*) filter (where issue = 'missing_in_second') > 0 then 'additive'

@@ -10,7 +10,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, TimestampType
 
 from tidemark.functions import quoted
 from tidemark.operators import quality
@@ -150,6 +150,18 @@ def stg_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _portable(_staged(spark, sf_dir, AUDIT))
 
 
+def stg_transactions_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The types of production: zoned clocks, zone-less only at the end, and decimals with all their digits, as text."""
+    staged = stage(_raw(spark, sf_dir, TRANSACTIONS), TRANSACTIONS, "timestamp")
+    edge = {TimestampType: "timestamp_ntz", DecimalType: "string"}
+    return staged.selectExpr(
+        *[
+            f"cast({quoted(f.name)} as {edge[type(f.dataType)]}) as {quoted(f.name)}" if type(f.dataType) in edge else quoted(f.name)
+            for f in staged.schema
+        ]
+    )
+
+
 def live_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _portable(live(_staged(spark, sf_dir, TRANSACTIONS)))
 
@@ -200,7 +212,10 @@ def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     update = current_rows(users.where(~first), USERS).withColumn(
         "country", F.when(F.col("user_id") % 3 != 0, F.col("country"))
     )
-    return _portable(merge_frames(main, update, ["user_id"]))
+    run = new_run(spark, "merge")
+    # Both are read more than once.
+    stored = [store(df, f"{run}/{name}") for name, df in (("main", main), ("update", update))]
+    return _portable(merge_frames(*stored, ["user_id"]))
 
 
 def resolve_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -396,6 +411,17 @@ def raw_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet(spark, f"{path}/users").drop("delivery")
 
 
+def raw_load_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries in one folder, the owner an int in one and a bigint in the other, loaded as one table."""
+    path = new_run(spark, "raw_load_conflict")
+    accounts = _raw(spark, sf_dir, ACCOUNTS)
+    first = F.col("_airbyte_extracted_at") == _ntz(FIRST_LOAD_UNTIL)
+    overwrite_path(accounts.where(first).withColumn("user_id", F.col("user_id").cast("int")), f"{path}/in/delivery=1")
+    overwrite_path(accounts.where(~first).withColumn("user_id", F.col("user_id").cast("bigint")), f"{path}/in/delivery=2")
+    loads.raw_load(spark, f"{path}/in", f"{path}/accounts", _ntz(AS_OF))
+    return read_parquet(spark, f"{path}/accounts")
+
+
 def evolving_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A delivery that lost a column and gained one replaces the live table in the table's shape."""
     path = new_run(spark, "evolving_load")
@@ -432,6 +458,22 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _drift(spark, sf_dir)
 
 
+def schema_drift_truncation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts whose digits and times of day the target's types would cut."""
+    accounts = marts.dim_accounts(_staged(spark, sf_dir, ACCOUNTS))
+    cut = F.when(F.col("account_id") % 3 == 0, F.lit("0.0000000001").cast("decimal(38,12)"))
+    incoming = accounts.select(
+        (F.col("account_id") + F.when(F.col("account_id") % 5 == 0, 0.5).otherwise(0.0)).alias("account_id"),
+        (F.col("balance").cast("decimal(37,12)") + F.coalesce(cut, F.lit(0))).cast("decimal(38,12)").alias("balance"),
+        (F.col("last_updated_at") + F.expr("make_dt_interval(0, cast(account_id % 2 as int))")).alias("last_updated_at"),
+        F.when(F.col("user_id") % 7 == 0, F.concat(F.col("user_id").cast("string"), F.lit(".50"))).otherwise(F.concat(F.col("user_id").cast("string"), F.lit(".0"))).alias("user_id"),
+    )
+    target = accounts.select(
+        "account_id", "balance", F.col("last_updated_at").cast("date").alias("last_updated_at"), F.col("user_id").cast("decimal(20,0)")
+    )
+    return drift_of(incoming, target)
+
+
 def drift_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status_of(_drift(spark, sf_dir))
 
@@ -454,9 +496,21 @@ def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.withColumn("table_name", F.lit("log")).unionByName(facts.withColumn("table_name", F.lit("fact")))
 
 
+def _stored_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The marts written once, so that no rule builds them again."""
+    run = new_run(spark, "marts")
+    accounts = store(marts.dim_accounts(_staged(spark, sf_dir, ACCOUNTS)), f"{run}/dim_accounts")
+    current = current_rows(_staged(spark, sf_dir, TRANSACTIONS), TRANSACTIONS)
+    return {
+        "dim_users": store(marts.dim_users(_staged(spark, sf_dir, USERS)), f"{run}/dim_users"),
+        "dim_accounts": accounts,
+        "fct_transactions": store(marts.transaction_facts(current, accounts), f"{run}/fct_transactions"),
+    }
+
+
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = [rule for rule in quality.MART_RULES if rule.kind == quality.NOT_NULL]
-    return quality.quality_report(_marts(spark, sf_dir), rules)
+    return quality.quality_report(_stored_marts(spark, sf_dir), rules)
 
 
 def dq_accepted_range(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -470,15 +524,13 @@ def dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_report(_marts(spark, sf_dir))
+    return quality.quality_report(_stored_marts(spark, sf_dir))
 
 
 def dq_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Failing rows of all rules, stored and read back: the rule and the value of its column, as text."""
     run = new_run(spark, "test_failures")
-    # The marts are stored once, so that no rule builds them again.
-    tables = {name: store(df, f"{run}/marts/{name}") for name, df in _marts(spark, sf_dir).items()}
-    stored = quality.store_failures(tables, quality.MART_RULES, folder=f"{run}/failures")
+    stored = quality.store_failures(_stored_marts(spark, sf_dir), quality.MART_RULES, folder=f"{run}/failures")
     columns = {rule.name: rule.column for rule in quality.MART_RULES}
     parts = [
         read_parquet(spark, path).select(
@@ -531,6 +583,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stg_accounts,
         stg_transactions,
         stg_audit,
+        stg_transactions_exact,
         live_rows,
         int_users,
         int_accounts,
@@ -557,9 +610,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         partitioned_write,
         row_count_metrics,
         raw_load,
+        raw_load_conflict,
         evolving_load,
         harmonize_schema,
         schema_drift,
+        schema_drift_truncation,
         drift_status,
         contract_check,
         dq_unique,

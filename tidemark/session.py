@@ -8,6 +8,8 @@ JOB_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.timestampType": "TIMESTAMP_LTZ",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "false",
+    # Zoned timestamps with statistics, by which scans skip row groups below a mark.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

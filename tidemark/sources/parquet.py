@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import (
@@ -34,14 +36,18 @@ def read_parquet(
     *paths: str,
     schema: StructType | str | None = None,
     merge_schema: bool = False,
+    base: str | None = None,
 ) -> DataFrame:
     """Scan parquet files or folders.
 
     Without options one footer gives the schema; ``merge_schema`` unites the footers, which Spark reads
     in a distributed job; ``schema`` is taken as declared. A declared schema is the cheapest on a folder
-    of many files, and lets the reader widen integers and decimals file by file.
+    of many files, and lets the reader widen integers and decimals file by file. ``base`` is the folder
+    below which folder names count as partition columns, for paths that are single files.
     """
     reader = spark.read
+    if base is not None:
+        reader = reader.option("basePath", base)
     if schema is not None:
         reader = reader.schema(schema)
     if merge_schema:
@@ -49,13 +55,51 @@ def read_parquet(
     return reader.parquet(*paths)
 
 
-def read_generations(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def read_delivery(spark: SparkSession, path: str) -> DataFrame:
+    """All columns of all files below ``path``, also where a merge of their footers is refused.
+
+    Files of conflicting schemas are told apart by halving the list of files until each part merges; parts
+    of equal schema are scanned together, so the plan has one scan for each schema, not for each file.
+    """
+    whole = _merged(spark, path)
+    if whole is not None:
+        return whole
+    # names only, which the driver holds for every scan anyway
+    files = sorted(unquote(f) for f in read_parquet(spark, path).inputFiles())
+    parts: dict[str, list[str]] = {}
+    waiting = [files]
+    while waiting:
+        part = waiting.pop()
+        frame = _merged(spark, *part, base=path)
+        if frame is None:
+            waiting += [part[len(part) // 2 :], part[: len(part) // 2]]
+        else:
+            parts.setdefault(frame.schema.json(), []).extend(part)
+    return read_generations(spark, list(parts.values()), base=path)
+
+
+def _merged(spark: SparkSession, *paths: str, base: str | None = None) -> DataFrame | None:
+    """A scan under the merged schema, or ``None`` if several files do not merge."""
+    try:
+        return read_parquet(spark, *paths, merge_schema=True, base=base)
+    except Py4JJavaError as error:
+        if "CANNOT_MERGE_SCHEMA" in str(error.java_exception) and (base is None or len(paths) > 1):
+            return None
+        raise
+
+
+def read_generations(
+    spark: SparkSession, deliveries: Sequence[str | Sequence[str]], base: str | None = None
+) -> DataFrame:
     """Scan deliveries whose schemas conflict, so that a footer merge would be refused.
 
-    Each path is one delivery with a consistent schema. Columns are cast to the narrowest type that holds
-    every delivery's values and missing ones become null. The result is one union of plain scans.
+    Each delivery is a path, or several, with a consistent schema. Columns are cast to the narrowest type
+    that holds every delivery's values and missing ones become null. The result is one union of plain scans.
     """
-    frames = [read_parquet(spark, path, merge_schema=True) for path in paths]
+    frames = [
+        read_parquet(spark, *([paths] if isinstance(paths, str) else paths), merge_schema=True, base=base)
+        for paths in deliveries
+    ]
     fold = same_name(spark)
     names: dict[str, str] = {}
     types: dict[str, DataType] = {}
