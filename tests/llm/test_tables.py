@@ -233,6 +233,15 @@ def test_mix_of_odd_rows(spark, tmp_path):
 # --- lines -------------------------------------------------------------------------------------------
 
 
+def test_mix_of_a_source_without_words(spark):
+    docs = spark.createDataFrame(
+        [(1, "a b c", "x"), (2, "", "y"), (3, None, "y"), (4, "d e", None)], "doc_id bigint, text string, source string"
+    )
+    found = {r.doc_id: (r.target, r.base + r.extra) for r in mixing.mix(docs).collect()}
+    assert found[2] == found[3] == (0.0, 0) and found[1][0] + found[4][0] == 7.5
+    assert {r.base + r.extra for r in mixing.mix(docs.where("source = 'y'")).collect()} == {0}
+
+
 def test_windows_are_removed_after_their_first_place(spark):
     passage = "first line\nsecond line\nthird line\nfourth line"
     rows = [(1, f"top\n{passage}\nend"), (2, f"{passage}"), (3, f"own\n\n{passage.replace(chr(10), chr(10) * 2)}\n\nlast"), (4, "a\nb\na\nb\na\nb"), (5, "first line\nsecond line\nother")]

@@ -11,7 +11,8 @@ less than one document.
 Random numbers come from a seed, level and bucket, and documents in a bucket are ordered by their hashes, so
 reruns agree.
 
-Defined cases: null and empty texts have size 0 and are never taken; a null source is a source of its own,
+Defined cases: null and empty texts have size 0 and are never taken, and a source that has no others has target
+0; a null source is a source of its own,
 last in order; repeated rows are counted each and may get different numbers of copies; an empty table gives
 an empty result.
 """
@@ -101,7 +102,8 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     rows = docs.select(first.alias("key1"), second.alias("key2"), column(doc_id).alias("doc_id"), column(source).cast("string").alias("source"), size.alias("size"))
     units = kept(rows.groupBy("key1", "key2", "doc_id", "source", "size").agg(F.count("*").alias("n_rows")), "units")
     of_source = targets(units.select("source", (F.col("size") * F.col("n_rows")).alias("size")))
-    wanted = (F.col("target") / F.col("source_size")).alias("wanted")
+    # A source of empty texts alone has nothing to take.
+    wanted = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("wanted")
     of_source = of_source.select(F.col("source").alias("of_source"), "source_size", "target", wanted)
     units = units.join(of_source, F.col("source").eqNullSafe(F.col("of_source"))).drop("of_source")
     units = units.withColumn("base", F.when(F.col("size") > 0, F.floor("wanted")).otherwise(0).cast("bigint"))
