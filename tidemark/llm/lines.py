@@ -57,7 +57,7 @@ from documents d left join rest r on r.doc_id = d.doc_id and r.text = d.text
 
 def _with_windows(rows: DataFrame) -> DataFrame:
     """One row for each window: its hashes, the document's keys, and the places of its lines."""
-    numbered = F.expr(r"transform(split(text, '\n', -1), (line, i) -> struct(i as place, regexp_replace(line, '[ \\t-\\r]+$', '') as line))")
+    numbered = F.expr(r"transform(split(text, '\n', -1), (line, i) -> struct(i as place, regexp_replace(line, '[ \\t-\\r]+\\z', '') as line))")
     filled = rows.select("doc_id", "key1", "key2", F.filter(numbered, lambda x: x["line"] != "").alias("lines"))
     at = F.expr(
         """transform(sequence(0, size(lines) - 3), i -> struct(
