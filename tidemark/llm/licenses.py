@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -121,12 +122,15 @@ def matches(joined: bytes, notice: Notice) -> list[tuple[int, int, int]]:
 def scan(text: bytes) -> dict:
     """Everything found in one text: words, base places, and (label, first word, last word, errors) of fuzzy notices."""
     joined, n = normal(text)
-    base = [(label, joined.count(b" ", 0, at)) for phrase, label in BASE.items() for at in places(joined, phrase.encode())]
-    spans = [
-        (x.label, joined.count(b" ", 0, start), joined.count(b" ", 0, end - 1), errors, 1 - errors / len(x.words))
-        for x in notices()
-        for start, end, errors in matches(joined, x)
-    ]
+    base = [(label, at) for phrase, label in BASE.items() for at in places(joined, phrase.encode())]
+    spans = [(x, *found) for x in notices() for found in matches(joined, x)]
+    if base or spans:
+        blanks = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
+        base = [(label, int(np.searchsorted(blanks, at))) for label, at in base]
+        spans = [
+            (x.label, int(np.searchsorted(blanks, start)), int(np.searchsorted(blanks, end - 1)), errors, 1 - errors / len(x.words))
+            for x, start, end, errors in spans
+        ]
     return {"n_words": n, "base": base, "spans": spans}
 
 
