@@ -93,6 +93,26 @@ def test_toxicity_on_held_out_labels(spark):
     assert right > 0.85
 
 
+def test_toxic_rows_are_found_in_a_small_table(spark):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet").select("doc_id", "toxic")
+    scored = toxicity.op1_toxicity(spark, "/root/testdata/sf0.001").join(labels, "doc_id")
+    found, toxic, false = scored.where("not held_out").select(F.sum(F.col("predicted") * F.col("toxic")), F.sum("toxic"), F.sum(F.col("predicted") * (1 - F.col("toxic")))).first()
+    assert toxic == 10 and found >= 5 and false == 0
+
+
+def test_rare_toxic_rows_are_all_drawn_and_found(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 300, 30)) + (" vile beast" if i % 100 == 0 else ""), int(i % 100 == 0)) for i in range(12_000)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, label int").cache()
+    sample, odds = toxicity.training_sample(frame.drop("label"), frame.select("doc_id", F.col("label").alias("toxic")), most=1_000)
+    seen = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    positive = sum(1 for i, _, label in rows if label and zlib.crc32(str(i).encode()) % 5)
+    others = sum(1 for i, _, label in rows if not label and zlib.crc32(str(i).encode()) % 5)
+    assert seen == {1: positive, 0: 1_000 - positive} and odds == pytest.approx(-np.log((1_000 - positive) / others))
+    scored = toxicity.score(frame, toxicity.fit(sample, bits=16, odds=odds), keep=("label",)).groupBy("label").agg(F.avg("predicted").alias("share"))
+    assert {r.label: r.share for r in scored.collect()} == {1: pytest.approx(1, abs=0.1), 0: pytest.approx(0, abs=0.001)}
+
+
 # --- language ----------------------------------------------------------------------------------------
 
 

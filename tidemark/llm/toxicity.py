@@ -5,8 +5,10 @@ are the set of its words, of its pairs of neighbours and of its pairs with one w
 ``2**bits`` places. Training keeps a rate for each coordinate and drives weights to exact zero by the L1
 term, so that a model is a short list of weights, which is sent to every task.
 
-Training rows are a bounded sample (``sample_rows``), dealt to a fixed number of shards. Each shard learns by
-itself, the weights are averaged, and further rounds start from the average.
+Training rows are a sample bounded by class: toxic rows are kept up to half of the bound, others fill the rest.
+The bias is put right by the log of the classes' rates, so that scores stay probabilities of the whole table.
+One task learns from the sample, because weights averaged over shards lose what is rare in each. The L1 term is
+the one of ``L1`` with the least log loss on left-out thirds of the sample, where the bias is put right too.
 
 Defined cases: a null or empty text has no words and gets the bias alone; repeated rows are scored each; an
 empty table gives an empty result; without labelled rows every score is the prior of one in four.
@@ -28,8 +30,10 @@ from tidemark.llm.common import bounded_ids, fresh, kept, pieces, table, utf8
 
 BITS = 20
 SAMPLE_ROWS = 20_000
-SHARDS = 4
 FOLDS = 5
+#: L1 terms to choose from, and the left-out parts they are judged by.
+L1 = (8.0, 4.0, 2.0)
+PARTS = 3
 
 _LOWER = np.zeros(256, np.uint8)
 for _low, _high in ((48, 57), (97, 122), (128, 255)):
@@ -107,15 +111,10 @@ def _features_of(bits: int):
     return run
 
 
-def train_shard(
-    sets: list[np.ndarray], labels: np.ndarray, bits: int, start: Model | None, epochs: int, alpha: float, beta: float, l1: float, l2: float
-) -> Model:
-    """FTRL-proximal in the order given. ``start`` is the model to go on from."""
+def train(sets: list[np.ndarray], labels: np.ndarray, bits: int, epochs: int, alpha: float, beta: float, l1: float, l2: float) -> Model:
+    """FTRL-proximal in the order given."""
     z, n = np.zeros(1 << bits), np.zeros(1 << bits)
     bias_z = bias_n = 0.0
-    if start is not None:
-        z[start.places] = -start.weights * (beta / alpha + l2) - np.sign(start.weights) * l1
-        bias_z = -start.bias * beta / alpha
     for _ in range(epochs):
         for at, label in zip(sets, labels, strict=True):
             zs, ns = z[at], n[at]
@@ -131,49 +130,59 @@ def train_shard(
     return Model(bits, places, weights, float(-bias_z / ((beta + np.sqrt(bias_n)) / alpha)))
 
 
+def log_loss(sets: list[np.ndarray], labels: np.ndarray, model: Model, odds: float) -> float:
+    """Sum over the rows, each class at its share of the whole table."""
+    dense = np.zeros(1 << model.bits)
+    dense[model.places] = model.weights
+    sums = np.array([dense[at].sum() for at in sets]) + model.bias - odds
+    return float((np.logaddexp(0, np.where(labels == 1, -sums, sums)) * np.where(labels == 1, np.exp(-odds), 1.0)).sum())
+
+
 def fit(
     labelled: DataFrame,
     bits: int = BITS,
-    shards: int = SHARDS,
-    rounds: int = 2,
-    epochs: int = 2,
+    epochs: int = 4,
     alpha: float = 0.5,
     beta: float = 1.0,
-    l1: float = 8.0,
+    l1: tuple[float, ...] = L1,
     l2: float = 0.1,
+    odds: float = 0.0,
 ) -> Model:
-    """Learns from ``key``, ``text`` and ``label`` (0 or 1). ``labelled`` is a sample that the caller has bounded."""
+    """Learns from ``key``, ``text`` and ``label`` (0 or 1). ``labelled`` is a sample that the caller has bounded.
+
+    ``odds`` is the log of how much more of the rows with label 1 than of the others are in the sample.
+    """
     sets = kept(
         labelled.select("key", "text", F.col("label").cast("int").alias("label"))
         .where("label is not null")
         .mapInArrow(_features_of(bits), "key bigint, label int, places binary"),
         "toxicity-features",
-    ).withColumn("shard", F.pmod(F.xxhash64("key", F.lit("shard")), F.lit(shards)))
+    )
     total, positive = sets.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     if not 0 < positive < total:
         share = (positive + 0.5) / (total + 2)
         return Model(bits, np.zeros(0, np.int64), np.zeros(0), float(np.log(share / (1 - share))))
-    model = None
-    for _ in range(rounds):
-        model = _round(sets, bits, model, epochs, alpha, beta, l1, l2)
-    return model
 
+    def ready(rows: pd.DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
+        rows = rows.sort_values(["key", "places"], kind="stable")
+        return [np.frombuffer(x, np.int32) for x in rows["places"]], rows["label"].to_numpy()
+
+    def judge(rows: pd.DataFrame) -> pd.DataFrame:
+        out = rows["part"] == rows["run"]
+        seen, left = ready(rows[~out]), ready(rows[out])
+        losses = [log_loss(*left, train(*seen, bits, epochs, alpha, beta, x, l2), odds) for x in l1]
+        return pd.DataFrame({"l1": l1, "loss": losses, "run": rows["run"].iloc[0]})
 
-def _round(sets: DataFrame, bits: int, start: Model | None, epochs: int, *rates: float) -> Model:
-    def train(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("key", kind="stable")
-        found = train_shard([np.frombuffer(x, np.int32) for x in rows["places"]], rows["label"].to_numpy(), bits, start, epochs, *rates)
+    def learn(rows: pd.DataFrame) -> pd.DataFrame:
+        found = train(*ready(rows), bits, epochs, alpha, beta, best, l2)
         return pd.DataFrame({"places": [found.places.tobytes()], "weights": [found.weights.tobytes()], "bias": [found.bias]})
 
-    models = sets.groupBy("shard").applyInPandas(train, "places binary, weights binary, bias double").collect()  # one row a shard
-    places = np.concatenate([np.frombuffer(m.places, np.int64) for m in models])
-    weights = np.concatenate([np.frombuffer(m.weights, np.float64) for m in models])
-    order = np.argsort(places, kind="stable")  # shards come in any order, so sums are made in that of the weights
-    places, weights = places[order], weights[order]
-    places, group = np.unique(places, return_inverse=True)
-    weights = weights[np.lexsort((weights, group))] if len(weights) else weights
-    sums = np.bincount(np.sort(group), weights, len(places)) if len(places) else np.zeros(0)
-    return Model(bits, places, sums / len(models), float(np.mean(sorted(m.bias for m in models))))
+    runs = sets.withColumn("part", F.pmod(F.xxhash64("key", F.lit("part")), F.lit(PARTS)).cast("int"))
+    runs = runs.withColumn("run", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    judged = sorted((r.l1, r.run, r.loss) for r in runs.groupBy("run").applyInPandas(judge, "l1 double, loss double, run int").collect())  # a few a run
+    best = min(l1, key=lambda x: (sum(loss for y, _, loss in judged if y == x), -x))
+    row = sets.groupBy().applyInPandas(learn, "places binary, weights binary, bias double").first()
+    return Model(bits, np.frombuffer(row.places, np.int64), np.frombuffer(row.weights, np.float64), row.bias - odds)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -203,18 +212,27 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ..
     return rows.mapInArrow(run, schema)
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS) -> DataFrame:
-    """Labelled documents outside the held-out fold, ``most`` at the most. Contradicting labels count as 1."""
+def training_sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS) -> tuple[DataFrame, float]:
+    """Labelled documents outside the held-out fold, ``most`` at the most, and ``odds`` for ``fit``. Contradicting labels count as 1.
+
+    Rows with label 1 are all kept as long as they fill at most half of the sample, or others do not fill the other half.
+    """
     ids = labels.groupBy("doc_id").agg(F.max("toxic").alias("label")).where("label is not null and doc_id is not null")
-    ids = ids.where(F.crc32(F.col("doc_id").cast("string")) % FOLDS != 0)
+    ids = kept(ids.where(F.crc32(F.col("doc_id").cast("string")) % FOLDS != 0), "toxicity-labels")
+    positive, others = ids.agg(F.count_if("label = 1"), F.count_if("label <> 1")).first()
+    of_positive = min(positive, max(most // 2, most - others))
+    of_others = min(others, most - of_positive)
+    odds = float(np.log(of_positive / positive) - np.log(of_others / others)) if positive and others else 0.0
+    drawn = bounded_ids(ids.where("label = 1"), "doc_id", of_positive).unionByName(bounded_ids(ids.where("label <> 1"), "doc_id", of_others))
     # Bounded by ``most`` rows of two numbers, so it may go to every task.
-    ids = F.broadcast(bounded_ids(ids, "doc_id", most))
-    return docs.select("doc_id", "text").join(ids, "doc_id").select(F.col("doc_id").cast("bigint").alias("key"), "text", "label")
+    rows = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    return rows.select(F.col("doc_id").cast("bigint").alias("key"), "text", "label"), odds
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's score, from labels of the training folds."""
     docs = table(spark, sf_dir, "documents")
-    model = fit(training_sample(docs, table(spark, sf_dir, "labels")))
+    sample, odds = training_sample(docs, table(spark, sf_dir, "labels"))
+    model = fit(sample, odds=odds)
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS == 0, F.lit(False))
     return score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
