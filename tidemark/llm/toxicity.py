@@ -219,7 +219,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS)
     """
     ids = labels.groupBy("doc_id").agg(F.max("toxic").alias("label")).where("label is not null and doc_id is not null")
     ids = kept(ids.where(F.crc32(F.col("doc_id").cast("string")) % FOLDS != 0), "toxicity-labels")
-    positive, others = ids.agg(F.count_if("label = 1"), F.count_if("label <> 1")).first()
+    positive, others = ids.agg(F.count_if(F.col("label") == 1), F.count_if(F.col("label") != 1)).first()
     of_positive = min(positive, max(most // 2, most - others))
     of_others = min(others, most - of_positive)
     odds = float(np.log(of_positive / positive) - np.log(of_others / others)) if positive and others else 0.0
