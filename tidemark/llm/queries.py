@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidemark.llm import lines, topk
+from tidemark.llm import lines, negatives, topk
 from tidemark.llm.bpe import op10_bpe_encode_decode
 from tidemark.llm.language import op5_language_id
 from tidemark.llm.licenses import op3_license_scan
 from tidemark.llm.lines import op6_line_dedup
 from tidemark.llm.mixing import op2_source_mix
+from tidemark.llm.negatives import op11_hard_negatives
 from tidemark.llm.neighbours import op8_nearest_neighbours
 from tidemark.llm.pii import op9_pii_pseudonyms
 from tidemark.llm.simhash import op4_simhash_near_dedup
@@ -32,9 +33,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_nearest_neighbours,
         op9_pii_pseudonyms,
         op10_bpe_encode_decode,
+        op11_hard_negatives,
     )
 } | {"pipeline": corpus_pipeline.run}
 
-ORACLES: dict[str, str] = {"op6_line_dedup": lines.ORACLE, "op7_exact_top_k": topk.ORACLE}
+ORACLES: dict[str, str] = {"op6_line_dedup": lines.ORACLE, "op7_exact_top_k": topk.ORACLE, "op11_hard_negatives": negatives.ORACLE}
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
