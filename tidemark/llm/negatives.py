@@ -50,8 +50,8 @@ SHARD = 8_192
 
 ORACLE = f"""
 with v as (
-  select distinct vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, [floor({SCALE} * x::double) for x in embedding] as v
-  from embeddings
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, [floor({SCALE} * x::double) for x in embedding] as v
+  from (select distinct vec_id, label, embedding from embeddings)
   where vec_id is not null and label is not null and embedding is not null and len(embedding) > 0
     and len([x for x in embedding if x is null or not isfinite(x)]) = 0
 ),

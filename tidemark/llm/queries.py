@@ -19,6 +19,7 @@ from tidemark.llm.pii import op9_pii_pseudonyms
 from tidemark.llm.simhash import op4_simhash_near_dedup
 from tidemark.llm.topk import op7_exact_top_k
 from tidemark.llm.toxicity import op1_toxicity
+from tidemark.llm.whitening import op12_embedding_whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
@@ -34,6 +35,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_pii_pseudonyms,
         op10_bpe_encode_decode,
         op11_hard_negatives,
+        op12_embedding_whitening,
     )
 } | {"pipeline": corpus_pipeline.run}
 
