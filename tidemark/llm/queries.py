@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidemark.llm import lines, negatives, topk
+from tidemark.llm import jaccard, lines, negatives, topk
 from tidemark.llm.bpe import op10_bpe_encode_decode
+from tidemark.llm.jaccard import op13_ngram_jaccard_join
 from tidemark.llm.language import op5_language_id
 from tidemark.llm.licenses import op3_license_scan
 from tidemark.llm.lines import op6_line_dedup
@@ -36,9 +37,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_bpe_encode_decode,
         op11_hard_negatives,
         op12_embedding_whitening,
+        op13_ngram_jaccard_join,
     )
 } | {"pipeline": corpus_pipeline.run}
 
-ORACLES: dict[str, str] = {"op6_line_dedup": lines.ORACLE, "op7_exact_top_k": topk.ORACLE, "op11_hard_negatives": negatives.ORACLE}
+ORACLES: dict[str, str] = {"op6_line_dedup": lines.ORACLE, "op7_exact_top_k": topk.ORACLE, "op11_hard_negatives": negatives.ORACLE, "op13_ngram_jaccard_join": jaccard.ORACLE}
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
