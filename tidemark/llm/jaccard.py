@@ -271,24 +271,19 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     pairs = kept(pairs.select("a", "b").distinct(), "jaccard-candidates")
     ids = kept(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "jaccard-candidate-ids")
     asked = F.broadcast(ids) if ids.count() <= HOT_SHINGLES else ids  # 8 MB at most
-    held = kept(sets.join(asked, "id", "left_semi").select("id", "shingles"), "jaccard-candidate-sets")
+    held = kept(sets.join(asked, "id", "left_semi").select("id", "shingles").mapInArrow(_arrays, "id bigint, shingles array<bigint>"), "jaccard-candidate-sets")
     both = pairs.join(held.withColumnsRenamed({"id": "a", "shingles": "of_a"}), "a").join(held.withColumnsRenamed({"id": "b", "shingles": "of_b"}), "b")
+    # In the JVM rows pass one by one; batches of pairs of long sets would fill a Python worker.
+    counted = both.select("a", "b", F.expr("size(array_intersect(of_a, of_b))").cast("bigint").alias("common"), F.expr("size(of_a) + size(of_b)").alias("sizes"))
+    return counted.select("a", "b", "common", F.expr("sizes - common").alias("joint")).where(f"100 * common >= {percent} * joint")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            common, joint = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
-            for i, (x, y) in enumerate(zip(batch.column("of_a"), batch.column("of_b"), strict=True)):
-                x, y = _set(x), _set(y)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                common[i] = int((y[at] == x).sum())
-                joint[i] = len(x) + len(y) - common[i]
-            near = pa.array(np.flatnonzero(100 * common >= percent * joint))
-            arrays = [batch.column("a"), batch.column("b"), pa.array(common), pa.array(joint)]
-            yield pa.RecordBatch.from_arrays([x.take(near) for x in arrays], ["a", "b", "common", "joint"])
 
-    return both.select("a", "b", "of_a", "of_b").mapInArrow(run, "a bigint, b bigint, common bigint, joint bigint")
+def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [_set(packed).view("<i8") for packed in batch.column("shingles")]
+        bounds = np.cumsum([0, *map(len, sets)], dtype=np.int32)
+        flat = pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64))
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.ListArray.from_arrays(pa.array(bounds), flat)], ["id", "shingles"])
 
 
 # --- levels ------------------------------------------------------------------------------------------
@@ -369,7 +364,7 @@ def links(sets: DataFrame, percent: int = PERCENT, pivots: int = PIVOTS, growth:
         edges = kept(_more(edges, found), "jaccard-edges")
         rest = kept(rest.join(homes.select("id"), "id", "left_anti"), "jaccard-rest") if homes.count() else rest
         left, level = rest.count(), level * growth
-    return edges
+    return edges if edges is not None else sets.sparkSession.createDataFrame([], "a bigint, b bigint")
 
 
 def _more(edges: DataFrame | None, found: DataFrame) -> DataFrame:
