@@ -137,6 +137,6 @@ def test_a_dense_group_makes_stars_not_pairs(spark):
         text[int(rng.integers(0, 120))] = f"own{i}"
         rows.append((i, " ".join(text)))
     frame = spark.createDataFrame(rows, "doc_id bigint, text string")
-    sets = frame.select(F.col("doc_id").alias("id"), "text").mapInArrow(jaccard._sets_of(4), "id bigint, n int, shingles binary")
+    sets = frame.select("doc_id", "text", F.col("doc_id").alias("id")).mapInArrow(jaccard._sets_of(4), "doc_id bigint, id bigint, n int, shingles binary")
     assert jaccard.links(sets, pivots=64).count() <= 64 * 2_000
     assert {r.component_id for r in jaccard.similar_documents(frame, pivots=8).collect()} == {0}

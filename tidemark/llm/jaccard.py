@@ -1,7 +1,7 @@
 """Exact Jaccard join of word n-gram sets in their metric space.
 
 The Jaccard distance d = 1 - |x & y| / |x | y| is a metric, so pivots split the space. Two sets link at a distance
-of ``reach`` or less (1 - threshold). Copies of a text are one set throughout.
+of ``reach`` or less (1 - threshold). Copies of a set are one set throughout.
 
 Level 1, sampled pivots. The distances of every set to a bounded number of pivots, drawn by hash, are counted
 through the pivots' shingles. A set at ``reach`` or less from a pivot belongs to the Voronoi region of its
@@ -179,7 +179,7 @@ def _sets_of(width: int):
             sets = shingle_sets(*utf8(batch.column("text")), width)
             sizes = pa.array([len(s) for s in sets], pa.int32())
             packed = pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), sizes, packed], ["id", "n", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("id"), sizes, packed], ["doc_id", "id", "n", "shingles"])
 
     return run
 
@@ -270,8 +270,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(``a``, ``b``, ``common``, ``joint``) of the pairs whose whole sets are similar by ``percent``."""
     pairs = kept(pairs.select("a", "b").distinct(), "jaccard-candidates")
     ids = kept(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "jaccard-candidate-ids")
-    asked = F.broadcast(ids) if ids.count() <= HOT_SHINGLES else ids  # 8 MB at most
-    held = kept(sets.join(asked, "id", "left_semi").select("id", "shingles").mapInArrow(_arrays, "id bigint, shingles array<bigint>"), "jaccard-candidate-sets")
+    held = kept(sets.join(_small(ids), "id", "left_semi").select("id", "shingles").mapInArrow(_arrays, "id bigint, shingles array<bigint>"), "jaccard-candidate-sets")
     both = pairs.join(held.withColumnsRenamed({"id": "a", "shingles": "of_a"}), "a").join(held.withColumnsRenamed({"id": "b", "shingles": "of_b"}), "b")
     # In the JVM rows pass one by one; batches of pairs of long sets would fill a Python worker.
     counted = both.select("a", "b", F.expr("size(array_intersect(of_a, of_b))").cast("bigint").alias("common"), F.expr("size(of_a) + size(of_b)").alias("sizes"))
@@ -343,16 +342,23 @@ def to_many(sets: DataFrame, pivots: DataFrame, hot: np.ndarray, percent: int) -
     return both.join(chosen, "pivot", "left_semi").select("id", "pivot", "common", "joint").unionByName(own)
 
 
-def links(sets: DataFrame, percent: int = PERCENT, pivots: int = PIVOTS, growth: int = GROWTH, hot: int = HOT) -> DataFrame:
-    """Edges (``a``, ``b``) between ``sets`` (``id``, ``n``, ``shingles``) at ``percent`` or more: all those that components need."""
+def links(
+    sets: DataFrame, percent: int = PERCENT, pivots: int = PIVOTS, growth: int = GROWTH, hot: int = HOT, gone: DataFrame | None = None
+) -> DataFrame:
+    """Edges (``a``, ``b``) between ``sets`` (``id``, ``n``, ``shingles``) at ``percent`` or more: all those that components need.
+
+    ``gone`` has the ids of sets that take no part.
+    """
     # Twice the distance: 1 - s' = 2 * (1 - s).
     wide = max(1, 2 * percent - 100)
     order = hot_shingles(sets, hot)
-    rest, edges, level, left = sets, None, pivots, sets.count()
+    sets = sets.select("id", "n", "shingles")
+    rest = _without(sets, gone)
+    edges, level, left = None, pivots, rest.count()
     while left:
         if level >= left and level > pivots:  # every set that is left is a pivot: its links are links to pivots
             firsts = kept(first_shingles(rest, order, percent), "jaccard-firsts")
-            pairs = verified(met(firsts, firsts, percent, same=True), rest, percent)
+            pairs = verified(met(firsts, firsts, percent, same=True), sets, percent)
             return _more(edges, pairs.select("a", "b"))
         if level == pivots:
             near = to_few(rest, few_pivots(rest, pivots, PIVOT_SHINGLES), wide)
@@ -362,11 +368,22 @@ def links(sets: DataFrame, percent: int = PERCENT, pivots: int = PIVOTS, growth:
         near = kept(near, "jaccard-near")
         found, homes = _regions(near, sets, edges, order, percent)
         edges = kept(_more(edges, found), "jaccard-edges")
-        rest = kept(rest.join(homes.select("id"), "id", "left_anti"), "jaccard-rest") if homes.count() else rest
-        left, level = rest.count(), level * growth
+        # The sets are stored once; what has gone is told by id.
+        left, level = left - homes.count(), level * growth
+        gone = kept(_more(gone, homes.select("id")), "jaccard-gone")
+        rest = _without(sets, gone)
     return edges if edges is not None else sets.sparkSession.createDataFrame([], "a bigint, b bigint")
 
 
+def _without(sets: DataFrame, gone: DataFrame | None) -> DataFrame:
+    return sets if gone is None else sets.join(_small(gone), "id", "left_anti")
+
+
+def _small(ids: DataFrame) -> DataFrame:
+    """Ids for a join with the sets: sent to every task up to 8 MB of them, else the join is Spark's to choose."""
+    return F.broadcast(ids) if ids.count() <= HOT_SHINGLES else ids
+
+
 def _more(edges: DataFrame | None, found: DataFrame) -> DataFrame:
     return found if edges is None else edges.unionByName(found)
 
@@ -404,25 +421,24 @@ def similar_documents(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = WIDTH, percent: int = PERCENT, pivots: int = PIVOTS, growth: int = GROWTH, hot: int = HOT
 ) -> DataFrame:
     """(``doc_id``, ``n_shingles``, ``component_id``) of every row of ``docs``."""
-    rows = docs.select(column(doc_id).alias("doc_id"), column(text).cast("string").alias("text"))
-    keyed = rows.withColumns({"key1": F.xxhash64(F.lit(1), "text"), "key2": F.xxhash64("text", F.lit(2))})
-    texts = keyed.where("length(text) > 0").select("key1", "key2", "text").dropDuplicates(["key1", "key2"])
-    numbered = texts.withColumn("id", F.monotonically_increasing_id())
+    rows = docs.select(column(doc_id).alias("doc_id"), column(text).cast("string").alias("text"), F.monotonically_increasing_id().alias("id"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    found = rows.mapInArrow(_sets_of(width), f"doc_id {kind}, id bigint, n int, shingles binary")
+    keys = {"key1": F.xxhash64(F.lit(1), "shingles"), "key2": F.xxhash64("shingles", F.lit(2))}
     # The ids are stored together with the sets, so no later job can number them anew.
-    with_keys = numbered.select(F.struct("id", "key1", "key2").alias("id"), "text")
-    sets = kept(with_keys.mapInArrow(_sets_of(width), "id struct<id:bigint,key1:bigint,key2:bigint>, n int, shingles binary").select("id.*", "n", "shingles"), "jaccard-sets")
-    some = sets.where("n > 0").select("id", "n", "shingles")
-    found = kept(links(some, percent, pivots, growth, hot), "jaccard-links")
-    roots = kept(components(found), "jaccard-roots")
-
-    of_text = sets.select("id", "key1", "key2", "n").join(roots.select(F.col("node").alias("id"), "root"), "id", "left")
-    of_text = of_text.select("key1", "key2", "n", F.coalesce("root", "id").alias("root"))
-    placed = kept(keyed.select("doc_id", "key1", "key2").join(of_text, ["key1", "key2"], "left"), "jaccard-placed")
-    least = placed.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    size = F.coalesce("n", F.lit(0)).cast("bigint").alias("n_shingles")
-    linked = placed.where("n > 0").join(least, "root").select("doc_id", size, "component_id")
-    alone = placed.where("coalesce(n, 0) = 0").select("doc_id", size, F.col("doc_id").alias("component_id"))
-    return linked.unionByName(alone)
+    sets = kept(found.withColumns(keys), "jaccard-sets")
+    some = sets.where("n > 0")
+    firsts = some.groupBy("key1", "key2").agg(F.min("id").alias("first"))
+    of_row = kept(some.select("doc_id", "id", "n", "key1", "key2").join(firsts, ["key1", "key2"]).select("doc_id", "id", "n", "first"), "jaccard-rows")
+    copies = of_row.where("id <> first").select("id")
+    edges = kept(links(some, percent, pivots, growth, hot, copies), "jaccard-links")
+    roots = kept(components(edges), "jaccard-roots").select(F.col("node").alias("first"), "root")
+
+    placed = kept(of_row.join(roots, "first", "left").withColumn("root", F.coalesce("root", "first")), "jaccard-placed")
+    least = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    size = F.col("n").cast("bigint").alias("n_shingles")
+    alone = sets.where("n = 0").select("doc_id", size, F.col("doc_id").alias("component_id"))
+    return placed.join(least, "root").select("doc_id", size, "component_id").unionByName(alone)
 
 
 def op13_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
