@@ -45,12 +45,14 @@ WIDTH = 4
 PERCENT = 85
 #: Pivots of the first level, and the shingles they may hold together.
 PIVOTS = 1_024
-PIVOT_SHINGLES = 1 << 20
+PIVOT_SHINGLES = 1 << 19
 #: How many times more pivots each following level has.
 GROWTH = 256
 #: Shingles seen so often in one task's share come last in the global order; the list of them is bounded.
 HOT = 8
 HOT_SHINGLES = 1 << 20
+#: Rows whose sets a task holds at a time.
+SLICE = 512
 
 ORACLE = f"""
 with words as (
@@ -175,7 +177,7 @@ def _shingles(words: np.ndarray, width: int) -> np.ndarray:
 
 def _sets_of(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(low, SLICE) for whole in batches for low in range(0, whole.num_rows, SLICE)):
             sets = shingle_sets(*utf8(batch.column("text")), width)
             sizes = pa.array([len(s) for s in sets], pa.int32())
             packed = pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())
@@ -301,7 +303,7 @@ def to_few(sets: DataFrame, pivots: list[tuple[int, np.ndarray]], percent: int)
     """(``id``, ``pivot``, ``common``, ``joint``) of all sets and pivots that are similar by ``percent``; the pivots lie in memory."""
     ids = np.array([i for i, _ in pivots], np.int64)
     sizes = np.array([len(s) for _, s in pivots], np.int64)
-    owners = np.repeat(np.arange(len(pivots)), sizes)
+    owners = np.repeat(np.arange(len(pivots), dtype=np.int32), sizes)
     every = np.concatenate([s for _, s in pivots]) if pivots else np.zeros(0, np.uint64)
     order = np.argsort(every, kind="stable")
     every, owners = every[order], owners[order]
