@@ -200,7 +200,7 @@ def hot_shingles(sets: DataFrame, hot: int = HOT, most: int = HOT_SHINGLES) -> n
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u8") for batch in batches]
+        held = [data[bounds[0] : bounds[-1]].copy().view("<u8") for bounds, data in (utf8(batch.column(0)) for batch in batches)]
         found, seen = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
         twice = seen > 1
         yield pa.RecordBatch.from_arrays([pa.array(found[twice].view(np.int64)), pa.array(seen[twice].astype(np.int64))], ["shingle", "seen"])
