@@ -99,7 +99,7 @@ def test_incremental_fact(spark, tmp_path):
         return marts.load_fct_transactions(spark, stage(log, TRANSACTIONS), owners, path, **options)
 
     def found():
-        df = spark.read.parquet(path).selectExpr(
+        df = marts.read_mart(spark, path).selectExpr(
             "transaction_id", "string(transaction_date)", "double(amount)", "from_user_id", "to_user_id"
         )
         return rows(df)

@@ -105,7 +105,7 @@ def _marts(spark: SparkSession, options: argparse.Namespace) -> int:
 
 def _check(spark: SparkSession, options: argparse.Namespace) -> int:
     names = ("dim_users", "dim_accounts", "fct_transactions")
-    frames = {name: read_parquet(spark, f"{options.marts}/{name}") for name in names}
+    frames = {name: marts.read_mart(spark, f"{options.marts}/{name}") for name in names}
     # one row per rule
     report = [row.asDict() for row in quality_report(frames).collect()]
     if options.failures:

@@ -144,6 +144,45 @@ def _line(rule: Rule, failures: str) -> dict[str, str]:
     }
 
 
+def tagged_failures(frames: Mapping[str, DataFrame], rules: Sequence[Rule] = MART_RULES) -> DataFrame:
+    """(``rule_name``, ``value``, ``n_records``, ``record``): what all rules find, as one frame.
+
+    Each row of a table carries the array of the row rules it breaks, so one scan serves them all, and the scan
+    gets their disjunction as a filter. Keys of unique and relationship rules come from counts by key, for which
+    the key column alone is read. ``record`` is the whole row as JSON, null where keys are counted.
+    """
+    parts = []
+    for table in dict.fromkeys(rule.table for rule in rules):
+        own = [rule for rule in rules if rule.table == table]
+        by_row = [rule for rule in own if rule.kind in (NOT_NULL, ACCEPTED_RANGE)]
+        if by_row:
+            parts.append(_tagged_rows(frames[table], by_row))
+        for rule in own:
+            if rule not in by_row:
+                value = f"cast({quoted(rule.column)} as string) as value"
+                found = failing_rows(frames, rule)
+                parts.append(found.selectExpr(f"{text(rule.name)} as rule_name", value, "n_records", "cast(null as string) as record"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _tagged_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    broken = [row_violation(rule) for rule in rules]
+    tags = [
+        f"case when {test} then struct({text(rule.name)} as rule_name, cast({quoted(rule.column)} as string) as value) end"
+        for rule, test in zip(rules, broken, strict=True)
+    ]
+    record = ", ".join(map(quoted, df.columns))
+    failing = df.where(" or ".join(f"({test})" for test in broken))
+    tagged = failing.selectExpr(f"to_json(struct({record})) as record", f"explode(filter(array({', '.join(tags)}), x -> x is not null)) as tag")
+    return tagged.selectExpr("tag.rule_name", "tag.value", "1L as n_records", "record")
+
+
+def store_tagged_failures(frames: Mapping[str, DataFrame], rules: Sequence[Rule] = MART_RULES, *, folder: str) -> str:
+    """All failures in one job, one folder for each rule that has any."""
+    tagged_failures(frames, rules).write.partitionBy("rule_name").mode("overwrite").parquet(folder)
+    return folder
+
+
 def store_failures(
     frames: Mapping[str, DataFrame],
     rules: Sequence[Rule] = MART_RULES,

@@ -130,6 +130,19 @@ MARTS = {
     select * from fct_audit
     where last_updated_at > (select max(last_updated_at) from first_audit)
        or ingested_at > (select max(ingested_at) from first_audit)""",
+    "after_increment": """
+    select * from first_load where transaction_id not in (select transaction_id from delta ) union all select * from delta""",
+    "audit_changed": """
+    select log_id from int_audit where last_updated_at > (select max(last_updated_at) from current_audit )
+        or ingested_at > (select max(ingested_at) from current_audit )""",
+    "audit_after": """
+    select count(*) as n from (select log_id from current_audit union select log_id from audit_changed )""",
+    "accounts_first": "select * from raw_accounts where ends_with(_airbyte_raw_id, '-0')",
+    "accounts_later": "select *, cast(account_id as bigint) as k from raw_accounts where not ends_with(_airbyte_raw_id, '-0')",
+    "account_deliveries": """
+    select (select count(account_id) from accounts_first ) as a1, (select count(user_id) from accounts_first ) as u1,
+        (select count(currency) from accounts_first ) as c1, count(account_id) as a, count(user_id) as u, count(currency) as c,
+        count(*) filter (where k % 2 = 0) as s, ['account_id', 'user_id', 'currency', 'segment'] as names from accounts_later""",
     "broken_transactions": """
     select * replace (
         case when cast(transaction_id as bigint) % 211 = 0 then 'n/a' else amount end as amount,
@@ -299,6 +312,8 @@ BODIES = {
     from raw_users""",
     "scan_generations": """
     select cast(account_id as bigint) as account_id, user_id, _airbyte_raw_id,
+        cast(cast(case when ends_with(_airbyte_raw_id, '-0') then cast(cast(balance as decimal(12, 2)) as decimal(20, 4))
+            else cast(balance as decimal(20, 4)) end as decimal(20, 4)) as varchar) as balance,
         case when not ends_with(_airbyte_raw_id, '-0') then currency end as currency
     from raw_accounts""",
     "source_views": " union all ".join(
@@ -344,6 +359,24 @@ BODIES = {
     "incremental_upsert": f"""
     {_all_of('first_load', 'where transaction_id not in (select transaction_id from delta )')}
     union all {_all_of('delta')}""",
+    "reconcile": """
+    select c.transaction_id, case when l.transaction_id is null then 'missing' else 'stale' end as status
+    from int_transactions c left join after_increment l on l.transaction_id = c.transaction_id
+    where l.transaction_id is null or (c.amount, c.status, c.transaction_timestamp, c.last_updated_at, c.ingested_at)
+        is distinct from (l.amount, l.status, l.transaction_timestamp, l.last_updated_at, l.ingested_at)""",
+    "load_ledger": """
+    select cast(1 as integer) as load_number, 'first' as load, 'full' as kind, count(*) as rows_in, count(*) as rows from current_audit
+    union all select 2, 'second', 'upsert', (select count(*) from audit_changed ), n from audit_after
+    union all select 3, 'third', 'upsert', 0, n from audit_after""",
+    "schema_history": """
+    select unnest([1, 1, 1, 2, 2, 2, 2, 3, 3, 3, 3, 4, 4, 4, 4, 5, 5, 5, 5]) as delivery,
+        unnest(names[1:3] || names || names || names || names) as column_name,
+        unnest(['added', 'added', 'added', 'same', 'promoted', 'same', 'added', 'same', 'narrower', 'same', 'same',
+            'same', 'same', 'removed', 'same', 'changed', 'same', 'same', 'same']) as change,
+        unnest(['additive', 'additive', 'additive', 'no_change', 'additive', 'no_change', 'additive', 'no_change', 'no_change', 'no_change', 'no_change',
+            'no_change', 'no_change', 'breaking', 'no_change', 'breaking', 'no_change', 'no_change', 'no_change']) as verdict,
+        unnest([a1, u1, c1, a, u, c, s, a, u, c, s, a, u, 0, s, a, u, c, s]) as filled_rows
+    from account_deliveries""",
     "partitioned_upsert": """
     select * from first_audit where log_id not in (select log_id from audit_delta )
     union all select * from audit_delta""",

@@ -6,7 +6,6 @@ Decimals leave as doubles and timestamps stay zone-less, so that results compare
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +17,8 @@ from tidemark.operators.joins import enrich_transactions, merge_upsert as merge_
 from tidemark.operators.marks import Marks, high_water_mark as marks_of, touched_keys
 from tidemark.operators.metrics import count_rows
 from tidemark.operators.quarantine import split_malformed
+from tidemark.operators.reconcile import reconcile as find_differences
+from tidemark.operators.schema_history import judged_in_turn
 from tidemark.operators.schema_ops import (
     contract_check as check_contract,
     drift_status as status_of,
@@ -31,6 +32,7 @@ from tidemark.plans import loads, marts
 from tidemark.schemas import ACCOUNTS, AUDIT, TRANSACTIONS, USERS, Entity
 from tidemark.sinks.tables import overwrite_path, overwrite_self, store, write_partitioned
 from tidemark.sinks.upsert import upsert_frame, upsert_partitions
+from tidemark.sinks.versioned import VersionedTable, ledger_frame, read_published
 from tidemark.sources.derived import BUILDERS, derived_sources
 from tidemark.sources.parquet import read_generations, read_parquet
 from tidemark.streaming import upsert_arrivals
@@ -102,14 +104,15 @@ def scan_generations(spark: SparkSession, sf_dir: str) -> DataFrame:
     accounts = _raw(spark, sf_dir, ACCOUNTS).select("account_id", "user_id", "balance", "currency", "_airbyte_raw_id")
     first = F.col("_airbyte_raw_id").endswith("-0")
     old = accounts.where(first).select(
-        F.col("account_id").cast("int"), F.col("user_id").cast("int"), "_airbyte_raw_id"
+        F.col("account_id").cast("int"), F.col("user_id").cast("int"), F.col("balance").cast("decimal(12,2)"), "_airbyte_raw_id"
     )
     new = accounts.where(~first).select(
-        F.col("account_id").cast("bigint"), "user_id", "currency", "_airbyte_raw_id"
+        F.col("account_id").cast("bigint"), "user_id", F.col("balance").cast("decimal(20,4)"), "currency", "_airbyte_raw_id"
     )
-    return read_generations(
+    found = read_generations(
         spark, [overwrite_path(old, f"{path}/delivery=1"), overwrite_path(new, f"{path}/delivery=2")]
     )
+    return found.withColumn("balance", F.col("balance").cast("string"))
 
 
 def source_views(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,6 +270,37 @@ def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _portable(upsert_frame(first, delta, TRANSACTIONS.key))
 
 
+def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions that the marks left behind: the log's current rows against the fact after an increment."""
+    run = new_run(spark, "reconcile")
+    transactions, accounts = _staged(spark, sf_dir, TRANSACTIONS), _staged(spark, sf_dir, ACCOUNTS)
+    seen = (F.col("_airbyte_extracted_at") <= _ntz(FIRST_LOAD_UNTIL)) & (F.col("transaction_id") % HELD_BACK != 0)
+    for log in (transactions.where(seen), transactions):
+        marts.load_fct_transactions(spark, log, accounts, f"{run}/fct")
+    columns = ("amount", "status", "transaction_timestamp", "last_updated_at", "ingested_at")
+    return find_differences(current_rows(transactions, TRANSACTIONS), read_published(spark, f"{run}/fct"), TRANSACTIONS.key, columns, f"{run}/digests")
+
+
+def load_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What three loads of the audit fact did, the second of them made twice under one name."""
+    path = new_run(spark, "ledger")
+    staged = _staged(spark, sf_dir, AUDIT)
+    seen = (F.col("_airbyte_extracted_at") <= _ntz(FIRST_LOAD_UNTIL)) & (F.col("log_id") % HELD_BACK != 0)
+    for name, log in (("first", staged.where(seen)), ("second", staged), ("second", staged), ("third", staged)):
+        marts.load_incremental(spark, path, log, AUDIT, marts.audit_facts, marts.AUDIT_DAY, marts.AUDIT_CLUSTER, load=name)
+    return ledger_frame(spark, path).select("load_number", "load", "kind", "rows_in", "rows")
+
+
+def schema_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five deliveries of the accounts: first seen, a wider owner and a new column, the old shape again, a lost column, text for a number."""
+    accounts = _raw(spark, sf_dir, ACCOUNTS).selectExpr("cast(account_id as bigint) as account_id", "cast(user_id as int) as user_id", "currency", "_airbyte_raw_id as raw_id")
+    first = accounts.where("raw_id like '%-0'").drop("raw_id")
+    later = accounts.where("raw_id not like '%-0'").drop("raw_id")
+    wider = later.selectExpr("account_id", "cast(user_id as bigint) as user_id", "currency", "case when account_id % 2 = 0 then 'even' end as segment")
+    deliveries = [first, wider, wider.withColumn("user_id", F.col("user_id").cast("int")), wider.drop("currency"), wider.withColumn("account_id", F.col("account_id").cast("string"))]
+    return judged_in_turn(spark, new_run(spark, "schema-history"), deliveries)
+
+
 def _first_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The audit fact as an earlier run left it, one event in four still filed under the next day."""
     seen = _staged(spark, sf_dir, AUDIT).where(
@@ -281,7 +315,8 @@ def _first_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def partitioned_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored form of the upsert, on the audit fact, as rows change day; a third run finds nothing."""
     first = _first_audit(spark, sf_dir)
-    path = write_partitioned(first, new_run(spark, "fct_audit"), marts.AUDIT_DAY, marts.AUDIT_CLUSTER)
+    path = new_run(spark, "fct_audit")
+    VersionedTable(spark, path, AUDIT.key, marts.AUDIT_DAY, marts.AUDIT_CLUSTER, marts.CLOCKS).replace(first)
     staged = _staged(spark, sf_dir, AUDIT)
     for _ in range(2):
         marts.load_incremental(
@@ -293,7 +328,7 @@ def partitioned_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
             marts.AUDIT_DAY,
             marts.AUDIT_CLUSTER,
         )
-    return read_parquet(spark, path, schema=first.schema)
+    return read_published(spark, path)
 
 
 def upsert_emptied_days(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -324,7 +359,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
             marts.AUDIT_CLUSTER,
             "timestamp_ntz",
         )
-    return read_parquet(spark, f"{path}/fct_audit", schema=marts.fct_audit(_staged(spark, sf_dir, AUDIT)).schema)
+    return read_published(spark, f"{path}/fct_audit")
 
 
 # --- marts -------------------------------------------------------------------------------------------
@@ -333,13 +368,13 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dim_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The users dimension, written and read back."""
     path = marts.load_dimension(marts.dim_users(_staged(spark, sf_dir, USERS)), new_run(spark, "dim_users"))
-    return _portable(read_parquet(spark, path))
+    return _portable(read_published(spark, path))
 
 
 def dim_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The accounts dimension, written and read back."""
     path = marts.load_dimension(marts.dim_accounts(_staged(spark, sf_dir, ACCOUNTS)), new_run(spark, "dim_accounts"))
-    return _portable(read_parquet(spark, path))
+    return _portable(read_published(spark, path))
 
 
 def fct_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -356,15 +391,14 @@ def fct_transactions_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     marts.load_fct_transactions(spark, transactions.where(seen), accounts, path)
     for _ in range(2):
         marts.load_fct_transactions(spark, transactions, accounts, path)
-    schema = marts.fct_transactions(transactions, accounts).schema
-    return _portable(read_parquet(spark, path, schema=schema).select(*schema.names))
+    return _portable(read_published(spark, path))
 
 
 def fct_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The audit fact, written by day and read back."""
     staged = _staged(spark, sf_dir, AUDIT)
     path = marts.load_fct_audit(staged, new_run(spark, "fct_audit"))
-    return _portable(read_parquet(spark, path, schema=marts.fct_audit(staged).schema))
+    return _portable(read_published(spark, path))
 
 
 # --- sinks and loads ---------------------------------------------------------------------------------
@@ -529,16 +563,9 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Failing rows of all rules, stored and read back: the rule and the value of its column, as text."""
-    run = new_run(spark, "test_failures")
-    stored = quality.store_failures(_stored_marts(spark, sf_dir), quality.MART_RULES, folder=f"{run}/failures")
-    columns = {rule.name: rule.column for rule in quality.MART_RULES}
-    parts = [
-        read_parquet(spark, path).select(
-            F.lit(name).alias("rule_name"), F.col(columns[name]).cast("double").cast("decimal(18,4)").cast("string").alias("value")
-        )
-        for name, path in stored.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    folder = quality.store_tagged_failures(_stored_marts(spark, sf_dir), folder=new_run(spark, "test_failures"))
+    value = F.col("value").cast("double").cast("decimal(18,4)").cast("string").alias("value")
+    return read_parquet(spark, folder, schema="value string, n_records bigint, record string, rule_name string").select("rule_name", value)
 
 
 def _malformed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -598,6 +625,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         incremental_delta,
         incremental_delta_full_rank,
         incremental_upsert,
+        reconcile,
+        load_ledger,
         partitioned_upsert,
         upsert_emptied_days,
         stream_upsert,
@@ -616,6 +645,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         schema_drift,
         schema_drift_truncation,
         drift_status,
+        schema_history,
         contract_check,
         dq_unique,
         dq_not_null,

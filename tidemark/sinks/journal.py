@@ -12,7 +12,12 @@ from pyspark.sql import SparkSession
 
 
 def begin(spark: SparkSession, target: str, record: dict) -> None:
-    """Leave the record of a publish that is about to start."""
+    """Leave the record of a publish that is about to start.
+
+    Only a full write may take the place of another record: it writes every row anew.
+    """
+    if not record.get("full") and pending(spark, target) is not None:
+        raise RuntimeError(f"a publish of {target} has not ended")
     files, folder = _files(spark, target)
     draft, name = _path(spark, f"{folder}/pending.draft"), _path(spark, f"{folder}/pending.json")
     stream = files.create(draft, True)

@@ -51,9 +51,11 @@ def upsert_partitions(
     now and those they go to. Only these are read in full. Their new content goes to the shared folder
     first, without layout, and from there into the target: it is not overwritten while it is being read.
     A record beside the target names that copy while the target is being changed, so that ``recover`` can
-    finish a publish that was cut off; the copy goes once all is in place.
+    finish a publish that was cut off; the copy goes once all is in place. After a full write that was cut off
+    this raises, as the rows it did not place are not stored anywhere.
     """
-    recover(spark, target)
+    if not recover(spark, target):
+        raise RuntimeError(f"a full write of {target} was cut off: it holds only some of its rows and has to be written again")
     if not isinstance(delta.schema[partition_by].dataType, DateType):
         raise TypeError(f"{partition_by} must be a date")
     run = new_run(spark, "upsert")

@@ -6,20 +6,22 @@ picked up as well.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tidemark.functions import quoted
-from tidemark.operators.marks import keep_keys
+from tidemark.operators.marks import INGESTED_CLOCK, UPDATED_CLOCK
 from tidemark.operators.staging import stage
-from tidemark.operators.versions import current_rows, live_rows
+from tidemark.operators.versions import latest_by_key, live_rows, project_current
 from tidemark.schemas import Entity
 from tidemark.sinks.tables import store
-from tidemark.sinks.upsert import recover, upsert_partitions, write_in_full
-from tidemark.sources.parquet import probe_path, read_parquet
-from tidemark.workspace import new_run
+from tidemark.sinks.versioned import VersionedTable
+from tidemark.workspace import new_run, remove_run
+
+CLOCKS = (UPDATED_CLOCK, INGESTED_CLOCK)
 
 
 def upsert_arrivals(
@@ -36,22 +38,32 @@ def upsert_arrivals(
 ) -> None:
     """Bring ``target`` up to date with all files in ``landing``, then return.
 
-    ``facts`` turns current rows into rows of the target. A micro-batch only says which keys have new
-    versions; their rows are ranked over the whole log. A batch repeated after a failure therefore writes
-    the same rows again.
+    ``facts`` turns current rows into rows of the target. Beside the target, ``<target>.state`` keeps the latest
+    live version of each key, bucketed by key: a micro-batch is ranked against the versions of its own keys alone,
+    and only files that may hold one of them are opened, not all that ever landed. Both are versioned tables. A
+    batch repeated after a failure is known by its name in their ledgers, so it is applied once.
     """
+    state = VersionedTable(spark, f"{target.rstrip('/')}.state", entity.key)
+    table = VersionedTable(spark, target, entity.key, partition_by, cluster_by, CLOCKS)
 
-    def load(batch: DataFrame, _batch_id: int) -> None:
+    def load(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        log = stage(read_parquet(session, landing, schema=schema), entity, timestamp_type)
-        if not recover(session, target) or probe_path(session, target) is None:
-            write_in_full(facts(current_rows(log, entity)), target, partition_by, cluster_by)
-            return
-        arrived = live_rows(stage(batch, entity, timestamp_type)).selectExpr(quoted(entity.key)).distinct()
-        touched = keep_keys(live_rows(log), store(arrived, new_run(session, "arrived")), entity.key)
-        upsert_partitions(
-            session, target, facts(current_rows(touched, entity)), entity.key, partition_by, cluster_by
-        )
+        run = new_run(session, "arrived")
+        # A checkpoint made anew counts its batches from zero again, but under another name.
+        name = f"{json.loads(session.read.text(f'{checkpoint}/metadata').first()[0])['id']}/{batch_id}"
+        arrived = store(latest_by_key(live_rows(stage(batch, entity, timestamp_type)), entity.key), run)
+        keys = arrived.selectExpr(quoted(entity.key))
+        if state.head() is None:
+            state.replace(arrived, name)
+        else:
+            known = state.rows_of(keys.where(f"{quoted(entity.key)} is not null"))
+            state.upsert(latest_by_key(known.unionByName(arrived), entity.key), name)
+        rows = facts(project_current(state.rows_of(keys), entity))
+        if table.head() is None:
+            table.replace(rows, name)
+        else:
+            table.upsert(rows, name)
+        remove_run(session, run)
 
     (
         spark.readStream.schema(schema)
