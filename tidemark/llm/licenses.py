@@ -113,10 +113,16 @@ def windows(joined: bytes, notice: Notice) -> list[tuple[int, int]]:
 def matches(joined: bytes, notice: Notice) -> list[tuple[int, int, int]]:
     """(start, end, errors) in bytes of every verified place."""
     found = []
-    for low, high in windows(joined, notice):
+    waiting = windows(joined, notice)
+    while waiting:
+        low, high = waiting.pop()
         for m in notice.pattern.finditer(joined, low, high):
             found.append((m.start(), m.end(), sum(m.fuzzy_counts)))
-    return found
+            # The best match comes first, wherever it stands: a weaker one may stand before it.
+            if m.start() - low >= len(notice.words) - notice.errors:
+                waiting.append((low, m.start()))
+            low = m.end()
+    return sorted(found)
 
 
 def scan(text: bytes) -> dict:

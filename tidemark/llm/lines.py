@@ -36,22 +36,22 @@ full_lines as (
 windows as (
   select a.doc_id, a.text, a.nth, a.place as p1, b.place as p2, c.place as p3, a.line as l1, b.line as l2, c.line as l3
   from full_lines a
-  join full_lines b on b.doc_id = a.doc_id and b.text = a.text and b.nth = a.nth + 1
-  join full_lines c on c.doc_id = a.doc_id and c.text = a.text and c.nth = a.nth + 2
+  join full_lines b on b.doc_id is not distinct from a.doc_id and b.text = a.text and b.nth = a.nth + 1
+  join full_lines c on c.doc_id is not distinct from a.doc_id and c.text = a.text and c.nth = a.nth + 2
 ),
-ranked as (select *, row_number() over (partition by l1, l2, l3 order by doc_id, p1) as seen from windows),
+ranked as (select *, row_number() over (partition by l1, l2, l3 order by doc_id nulls first, p1) as seen from windows),
 covered as (
   select distinct doc_id, text, unnest([p1, p2, p3]) as place from ranked where seen > 1
 ),
 rest as (
   select l.doc_id, l.text, string_agg(l.line, chr(10) order by l.place) filter (where c.place is null) as cleaned,
     count(*) as n_lines, count(c.place) as n_removed
-  from lines l left join covered c on c.doc_id = l.doc_id and c.text = l.text and c.place = l.place
+  from lines l left join covered c on c.doc_id is not distinct from l.doc_id and c.text = l.text and c.place = l.place
   group by l.doc_id, l.text
 )
 select d.doc_id, case when d.text is null then null else coalesce(r.cleaned, '') end as text,
   coalesce(r.n_lines, 0) as n_lines, coalesce(r.n_removed, 0) as n_removed
-from documents d left join rest r on r.doc_id = d.doc_id and r.text = d.text
+from documents d left join rest r on r.doc_id is not distinct from d.doc_id and r.text = d.text
 """
 
 

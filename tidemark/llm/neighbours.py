@@ -18,8 +18,9 @@ On vectors without any structure the nearest are hardly nearer than others, and
 with about half of all vectors; ``probe`` is set for that case and may be far lower for clustered vectors.
 
 Defined cases: vectors that are null, empty, zero or hold a null or non-finite component, and rows without an
-id, take no part; of rows with one id the smallest vector counts; vectors meet only those of their own length;
-no candidates or an empty table give an empty result.
+id, take no part; rows equal in id and vector count once, other rows with one id are candidates and queries of
+their own, but none of them is a candidate for another; vectors meet only those of their own length; no
+candidates or an empty table give an empty result.
 """
 
 from __future__ import annotations
@@ -113,22 +114,22 @@ def plant(sample: np.ndarray, longest: float, depth: int, trees: int, seed: int)
 
 
 def rank_exactly(queries: np.ndarray, query_ids: np.ndarray, candidates: np.ndarray, ids: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each query's best candidates other than itself, by inner products summed in one fixed order."""
+    """Places of queries and of their best candidates, those of its own id left out, with inner products summed in one fixed order."""
     order = np.argsort(ids, kind="stable")
     candidates, ids = candidates[order], ids[order]
     rough = queries @ candidates.T
     slack = 1e-9 * max(1.0, float(np.abs(rough).max(initial=0)))
-    out: tuple[list, list, list] = ([], [], [])
-    for query, query_id, row in zip(queries, query_ids, rough, strict=True):
-        least = np.partition(row, len(row) - top - 1)[len(row) - top - 1] if len(row) > top + 1 else -np.inf
-        near = np.flatnonzero(row >= least - slack)
-        near = near[ids[near] != query_id]
+    out: tuple[list, list, list] = ([np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)])
+    for i, (query, query_id, row) in enumerate(zip(queries, query_ids, rough, strict=True)):
+        others = np.flatnonzero(ids != query_id)
+        least = np.partition(row[others], len(others) - top)[len(others) - top] if len(others) > top else -np.inf
+        near = others[row[others] >= least - slack]
         exact = (candidates[near] * query).sum(axis=1)
         best = np.argsort(-exact, kind="stable")[:top]  # candidates stand by id
-        out[0].append(np.full(len(best), query_id))
-        out[1].append(ids[near[best]])
+        out[0].append(np.full(len(best), i))
+        out[1].append(order[near[best]])
         out[2].append(exact[best])
-    return tuple(np.concatenate(x) if x else np.zeros(0) for x in out)
+    return tuple(np.concatenate(x) for x in out)
 
 
 def nearest(
@@ -146,7 +147,7 @@ def nearest(
 ) -> DataFrame:
     """(``query_id``, ``rank``, ``vec_id``, ``score``): for each row that meets the SQL condition ``queries_of`` the
     ``top`` nearest others found. The forest's planes come from ``sample_rows`` vectors; every vector is indexed."""
-    vectors = kept(packed(vectors, zero=False), "vectors")
+    vectors = kept(packed(vectors, zero=False).withColumn("row", F.monotonically_increasing_id()), "vectors")
     results = []
     # One forest for each length of vectors; a table of embeddings has one.
     for dim in [r[0] for r in vectors.select("dim").distinct().orderBy("dim").collect()]:
@@ -161,7 +162,7 @@ def nearest(
 
 def _nearest(vectors: DataFrame, queries_of: str, top: int, trees: int, leaf: int, probe: float, sample_rows: int, deepest: int, block: int, shard: int, seed: int) -> DataFrame:
     same = Window.partitionBy("vector").orderBy("vec_id")
-    indexed = kept(vectors.withColumn("place", F.row_number().over(same)).where(F.col("place") <= top + 1).select("vec_id", "vector"), "indexed")
+    indexed = kept(vectors.withColumn("place", F.row_number().over(same)).where(F.col("place") <= top + 1).select("vec_id", "row", "vector"), "indexed")
     total = indexed.count()
     sample = matrix(pd.Series([r[0] for r in indexed.orderBy(F.xxhash64("vec_id", F.lit("sample")), "vec_id").limit(sample_rows).select("vector").collect()]))
     longest = indexed.mapInPandas(_longest, "longest double").agg(F.max("longest")).first()[0]
@@ -174,9 +175,9 @@ def _nearest(vectors: DataFrame, queries_of: str, top: int, trees: int, leaf: in
             leaves = forest.leaves(matrix(batch.column("vector").to_pandas()))
             for tree in range(trees):
                 spot = pa.array(tree * (1 << depth) + leaves[:, tree])
-                yield pa.RecordBatch.from_arrays([batch.column("vec_id"), spot, batch.column("vector")], ["vec_id", "leaf", "vector"])
+                yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("row"), spot, batch.column("vector")], ["vec_id", "row", "leaf", "vector"])
 
-    placed = kept(indexed.mapInArrow(to_leaves, "vec_id bigint, leaf bigint, vector binary"), "leaves")
+    placed = kept(indexed.mapInArrow(to_leaves, "vec_id bigint, row bigint, leaf bigint, vector binary"), "leaves")
     sizes = np.zeros(trees << depth, np.int64)
     counted = placed.groupBy("leaf").agg(F.count("*").alias("nc"))
     for row in counted.collect():  # no more rows than the forest has leaves
@@ -193,23 +194,25 @@ def _nearest(vectors: DataFrame, queries_of: str, top: int, trees: int, leaf: in
                 rows += [i] * len(found)
                 leaves += found
             picked = batch.take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([picked.column("vec_id"), pa.array(leaves, pa.int64()), picked.column("vector")], ["query_id", "leaf", "query"])
+            arrays = [picked.column("row"), picked.column("vec_id"), pa.array(leaves, pa.int64()), picked.column("vector")]
+            yield pa.RecordBatch.from_arrays(arrays, ["asked", "query_id", "leaf", "query"])
 
-    queries = vectors.where(queries_of).select("vec_id", "vector")
-    probes = kept(queries.mapInArrow(to_probes, "query_id bigint, leaf bigint, query binary"), "probes")
+    queries = vectors.where(queries_of).select("vec_id", "row", "vector")
+    probes = kept(queries.mapInArrow(to_probes, "asked bigint, query_id bigint, leaf bigint, query binary"), "probes")
     asked = probes.groupBy("leaf").agg(F.count("*").alias("nq"))
     both = kept(asked.join(counted, "leaf"), "leaf-sizes")
 
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
-        query, vec, score = rank_exactly(matrix(left["query"]), left["query_id"].to_numpy(), matrix(right["vector"]), right["vec_id"].to_numpy(), top)
-        return pd.DataFrame({"query_id": query.astype(np.int64), "vec_id": vec.astype(np.int64), "score": score})
+        place, near, score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        if len(left) and len(right):
+            place, near, score = rank_exactly(matrix(left["query"]), left["query_id"].to_numpy(), matrix(right["vector"]), right["vec_id"].to_numpy(), top)
+        asked, query, row, vec = left["asked"].to_numpy()[place], left["query_id"].to_numpy()[place], right["row"].to_numpy()[near], right["vec_id"].to_numpy()[near]
+        return pd.DataFrame({"asked": asked, "query_id": query, "row": row, "vec_id": vec, "score": score})
 
-    lists = tiled(probes, placed, both, ["leaf"], block, shard, best, "query_id bigint, vec_id bigint, score double")
+    lists = tiled(probes, placed, both, ["leaf"], block, shard, best, "asked bigint, query_id bigint, row bigint, vec_id bigint, score double")
     # A candidate may be found in several trees.
-    lists = lists.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
+    lists = lists.groupBy("asked", "query_id", "row", "vec_id").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("asked").orderBy(F.col("score").desc(), "vec_id", "row")
     ranked = lists.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= top)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
