@@ -140,3 +140,34 @@ def test_a_dense_group_makes_stars_not_pairs(spark):
     sets = frame.select("doc_id", "text", F.col("doc_id").alias("id")).mapInArrow(jaccard._sets_of(4), "doc_id bigint, id bigint, n int, shingles binary")
     assert jaccard.links(sets, pivots=64).count() <= 64 * 2_000
     assert {r.component_id for r in jaccard.similar_documents(frame, pivots=8).collect()} == {0}
+
+
+def test_members_and_guests_that_cannot_be_near_are_not_compared(spark):
+    members = spark.createDataFrame([(1, 9, 0.02), (2, 9, 0.14), (3, 8, 0.01)], "id bigint, pivot bigint, far double")
+    guests = spark.createDataFrame([(4, 9, 0.2), (5, 9, 0.295), (6, 8, 0.25), (7, 7, 0.16)], "id bigint, pivot bigint, far double")
+    members, guests = jaccard._facing(members, guests, 0.15)
+    assert sorted(map(tuple, members.collect())) == [(2, 9, 0.14)]  # the nearest guest is at 0.2, so members below 0.05 are out
+    assert sorted(r.id for r in guests.collect()) == [4]  # 0.295 is more than 0.15 behind the farthest member, pivots 8 and 7 have none left
+
+
+def test_shingles_of_one_tied_group_make_no_pairs(spark):
+    firsts = spark.createDataFrame([(70, 1, 9), (70, 2, 9), (71, 2, 9), (71, 3, 9), (72, 4, 9)], "shingle bigint, id bigint, n int")
+    edges = spark.createDataFrame([(1, 2)], "a bigint, b bigint")
+    assert sorted((r.shingle, r.id) for r in jaccard._between(firsts, edges).collect()) == [(71, 2), (71, 3)]
+    assert {r.shingle for r in jaccard._between(firsts, None).collect()} == {70, 71, 72}
+
+
+def test_guests_are_settled_as_pivots_without_pairs_of_shingles(spark, monkeypatch):
+    """Copies around a text that is no pivot: each is a guest of each pivot, and none has to be met by shingles."""
+    rng = np.random.default_rng(2)
+    base, rows = [f"b{i}" for i in range(200)], []
+    for i in range(200):
+        text = list(base)
+        for at in rng.choice(40, 3, replace=False):
+            text[5 * int(at)] = f"own{i}_{at}"
+        rows.append((i, " ".join(text)))
+    rows.append((200, " ".join(base)))
+    taken = []
+    monkeypatch.setattr(jaccard, "met", lambda left, *args, met=jaccard.met, **options: taken.append(left.columns) or met(left, *args, **options))
+    assert found_components(spark.createDataFrame(rows, "doc_id bigint, text string"), pivots=120) == plain_components(rows)
+    assert not [c for c in taken if "pivot" in c]

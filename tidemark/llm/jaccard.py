@@ -8,7 +8,9 @@ through the pivots' shingles. A set at ``reach`` or less from a pivot belongs to
 nearest pivot and links to all such pivots. By the triangle inequality a partner of a region's member is at most
 ``2 * reach`` from the pivot: sets in that window are replicated to the region as guests, and a guest at distance
 g meets only members in the window [g - reach, reach]. What the links made so far already tie to the pivot needs
-no comparison. So a large group of near copies becomes a star, not pairs.
+no comparison. So a large group of near copies becomes a star, not pairs. The boundary is joined in the same way:
+guests that no link ties to their region are drawn as pivots among the members they face, as long as that settles
+half of them; the rest meets its members by shingles.
 
 Next levels. What no pivot reached is a region of its own, all its pairs still open, and is split in the same
 way by ``GROWTH`` times as many pivots, until every remaining set is a pivot; then a set's links to pivots are
@@ -16,7 +18,7 @@ all its links. Pivots that are too many for a task's memory are found through co
 are near enough, the first shingles in one global order (hot ones last) must meet.
 
 Within regions and on the last level pairs are candidates if enough of those first shingles are common, and all
-are verified on whole sets. The result is exact: no pair within reach is left out unless both are tied already.
+are verified on whole sets; on the last level sets that are tied by then make no pairs. The result is exact: no pair within reach is left out unless both are tied already.
 
 Shingles are 64-bit hashes of the words of a window, so set sizes and distances are exact up to collisions (one
 in 10**13 for a pair of long texts). Hot shingles only decide an order; any order gives the same result.
@@ -359,8 +361,9 @@ def links(
     edges, level, left = None, pivots, rest.count()
     while left:
         if level >= left and level > pivots:  # every set that is left is a pivot: its links are links to pivots
-            firsts = kept(first_shingles(rest, order, percent), "jaccard-firsts")
-            pairs = verified(met(firsts, firsts, percent, same=True), sets, percent)
+            firsts = kept(_between(first_shingles(rest, order, percent), edges), "jaccard-firsts")
+            sides = (firsts.withColumnRenamed("root", f"root_{side}") for side in "ab")
+            pairs = verified(met(*sides, percent, where=F.col("root_a") != F.col("root_b"), same=True), sets, percent)
             return _more(edges, pairs.select("a", "b"))
         if level == pivots:
             near = to_few(rest, few_pivots(rest, pivots, PIVOT_SHINGLES), wide)
@@ -368,7 +371,7 @@ def links(
             share = F.pmod(F.xxhash64("id", F.lit("pivot"), F.lit(level)), F.lit(1 << 30)) < int(level / left * (1 << 30))
             near = to_many(rest, kept(rest.where(share), "jaccard-pivots"), order, wide)
         near = kept(near, "jaccard-near")
-        found, homes = _regions(near, sets, edges, order, percent)
+        found, homes = _regions(near, sets, edges, order, percent, pivots)
         edges = kept(_more(edges, found), "jaccard-edges")
         # The sets are stored once; what has gone is told by id.
         left, level = left - homes.count(), level * growth
@@ -390,33 +393,75 @@ def _more(edges: DataFrame | None, found: DataFrame) -> DataFrame:
     return found if edges is None else edges.unionByName(found)
 
 
-def _regions(near: DataFrame, sets: DataFrame, edges: DataFrame | None, order: np.ndarray, percent: int) -> tuple[DataFrame, DataFrame]:
+def _regions(near: DataFrame, sets: DataFrame, edges: DataFrame | None, order: np.ndarray, percent: int, pivots: int) -> tuple[DataFrame, DataFrame]:
     """Links found in one level's Voronoi regions, and (``id``, ``pivot``) of each region's members.
 
-    ``near`` has all distances to pivots up to twice the reach.
+    ``near`` has all distances to pivots up to twice the reach. As long as it settles half of the guests, some are
+    drawn as ``pivots`` themselves, among the members they face: that finds all links of those, and ties others.
     """
     within = near.where(f"100 * common >= {percent} * joint")
-    stars = within.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b"))
+    found = within.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b"))
     nearest = F.max_by(F.struct("pivot", "common", "joint"), F.struct(F.col("common") / F.col("joint"), -F.col("pivot")))
     homes = kept(within.groupBy("id").agg(nearest.alias("home")).select("id", "home.*"), "jaccard-homes")
-
-    tied = kept(components(_more(edges, stars)), "jaccard-tied")
-    root = lambda df, name: df.join(tied.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root")), name, "left").withColumn(f"{name}_root", F.coalesce(f"{name}_root", name))
-    guests = near.where(f"100 * common < {percent} * joint").select("id", "pivot", (1 - F.col("common") / F.col("joint")).alias("far"))
-    # What a link already ties to the pivot is tied to all members of the region.
-    guests = root(root(guests, "id"), "pivot").where("id_root <> pivot_root").select("id", "pivot", "far")
-    guests = kept(guests, "jaccard-guests")
-    if guests.isEmpty():
-        return stars, homes
-    members = homes.where("id <> pivot").join(guests.select("pivot").distinct(), "pivot", "left_semi")
-    members = members.select("id", "pivot", (1 - F.col("common") / F.col("joint")).alias("far"))
-    reach = 1 - percent / 100
+    far = (1 - F.col("common") / F.col("joint")).alias("far")
+    every = homes.where("id <> pivot").select("id", "pivot", far)
+    guests = near.where(f"100 * common < {percent} * joint").select("id", "pivot", far)
+    reach, before = 1 - percent / 100, None
+    while True:
+        guests = _untied(guests, _more(edges, found))
+        members, guests = (kept(df, "jaccard-facing") for df in _facing(every, guests, reach))
+        ids = kept(guests.select("id").distinct(), "jaccard-guest-ids")
+        left = ids.count()
+        if not left:
+            return found, homes
+        drawn = few_pivots(sets.join(_small(ids), "id", "left_semi"), pivots, PIVOT_SHINGLES) if before is None or 2 * left <= before else []
+        if not drawn:
+            break
+        faced = sets.join(_small(members.select("id")), "id", "left_semi")
+        # A guest is a member of another region at times, but no partner of itself.
+        links = to_few(faced, drawn, percent).where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b"))
+        found, before = kept(found.unionByName(links), "jaccard-boundary"), left
+        if len(drawn) == left:
+            return found, homes
+        settled = sets.sparkSession.createDataFrame([(i,) for i, _ in drawn], "id bigint")
+        guests = guests.join(settled, "id", "left_anti")
     regions = {"m": members, "g": guests}
     firsts = {k: first_shingles(sets.join(df, "id"), order, percent, ("pivot", "far")).withColumnRenamed("far", f"far_{k}") for k, df in regions.items()}
     inside = F.col("far_m") >= F.col("far_g") - reach - 1e-9  # rounding may only widen a window
     pairs = met(firsts["m"], firsts["g"], percent, ("pivot",), inside)
-    found = verified(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), sets, percent)
-    return stars.unionByName(found.select("a", "b")), homes
+    pairs = verified(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), sets, percent)
+    return found.unionByName(pairs.select("a", "b")), homes
+
+
+def _untied(guests: DataFrame, edges: DataFrame) -> DataFrame:
+    """Guests that ``edges`` do not tie to their pivot: what is tied to it is tied to all members of the region."""
+    tied = kept(components(edges), "jaccard-tied")
+    for name in ("id", "pivot"):
+        roots = tied.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
+        guests = guests.join(roots, name, "left").withColumn(f"{name}_root", F.coalesce(f"{name}_root", name))
+    return kept(guests.where("id_root <> pivot_root").select("id", "pivot", "far"), "jaccard-guests")
+
+
+def _facing(members: DataFrame, guests: DataFrame, reach: float) -> tuple[DataFrame, DataFrame]:
+    """Members and guests that can be near each other by what their region holds: its guests' least and its members' greatest distance."""
+    slack = reach + 1e-9
+    nearest = guests.groupBy("pivot").agg(F.min("far").alias("far_g"))
+    members = members.join(nearest, "pivot").where(F.col("far") >= F.col("far_g") - slack).select("id", "pivot", "far")
+    widest = members.groupBy("pivot").agg(F.max("far").alias("far_m"))
+    return members, guests.join(widest, "pivot").where(F.col("far") <= F.col("far_m") + slack).select("id", "pivot", "far")
+
+
+def _between(firsts: DataFrame, edges: DataFrame | None) -> DataFrame:
+    """First shingles (``shingle``, ``id``, ``n``) with the ``root`` that ``edges`` tie each set to, of shingles that more than one root has.
+
+    Sets that are tied need no comparison, so what a group of near copies has to itself makes no pairs.
+    """
+    if edges is None:
+        return firsts.withColumn("root", F.col("id"))
+    tied = kept(components(edges), "jaccard-tied").select(F.col("node").alias("id"), "root")
+    firsts = kept(firsts.join(tied, "id", "left").withColumn("root", F.coalesce("root", "id")), "jaccard-rooted")
+    mixed = firsts.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    return firsts.join(mixed.select("shingle"), "shingle", "left_semi")
 
 
 def similar_documents(
