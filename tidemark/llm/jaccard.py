@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import column
-from tidemark.llm.common import PIECE, kept, table, utf8
+from tidemark.llm.common import kept, table, utf8
 from tidemark.llm.components import components
 
 WIDTH = 4
@@ -53,8 +53,9 @@ GROWTH = 256
 #: Shingles seen so often in one task's share come last in the global order; the list of them is bounded.
 HOT = 8
 HOT_SHINGLES = 1 << 20
-#: Rows whose sets a task holds at a time.
+#: Rows whose sets a task holds at a time, and bytes of text whose words it hashes at a time.
 SLICE = 512
+PIECE = 1 << 18
 
 ORACLE = f"""
 with words as (
@@ -177,9 +178,17 @@ def _shingles(words: np.ndarray, width: int) -> np.ndarray:
     return np.unique(_mixed(total))
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time; what Arrow holds no longer goes back to the system with each batch."""
+    for whole in batches:
+        for low in range(0, whole.num_rows, SLICE):
+            yield whole.slice(low, SLICE)
+        pa.default_memory_pool().release_unused()
+
+
 def _sets_of(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (whole.slice(low, SLICE) for whole in batches for low in range(0, whole.num_rows, SLICE)):
+        for batch in _slices(batches):
             sets = shingle_sets(*utf8(batch.column("text")), width)
             sizes = pa.array([len(s) for s in sets], pa.int32())
             packed = pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())
@@ -203,9 +212,11 @@ def hot_shingles(sets: DataFrame, hot: int = HOT, most: int = HOT_SHINGLES) -> n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [data[bounds[0] : bounds[-1]].copy().view("<u8") for bounds, data in (utf8(batch.column(0)) for batch in batches)]
-        found, seen = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
-        twice = seen > 1
-        yield pa.RecordBatch.from_arrays([pa.array(found[twice].view(np.int64)), pa.array(seen[twice].astype(np.int64))], ["shingle", "seen"])
+        every = np.concatenate(held) if held else np.zeros(0, np.uint64)
+        held.clear()
+        every.sort()
+        again, more = np.unique(every[1:][every[1:] == every[:-1]], return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(again.view(np.int64)), pa.array(more.astype(np.int64) + 1)], ["shingle", "seen"])
 
     seen = sets.select("shingles").mapInArrow(run, "shingle bigint, seen bigint").groupBy("shingle").agg(F.sum("seen").alias("seen"))
     rows = seen.where(F.col("seen") >= hot).orderBy(F.col("seen").desc(), "shingle").limit(most).select("shingle").collect()
@@ -237,7 +248,7 @@ def first_shingles(sets: DataFrame, hot: np.ndarray, percent: int, keep: tuple[s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = Order(hot)
-        for batch in batches:
+        for batch in _slices(batches):
             found, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for i, packed in enumerate(batch.column("shingles")):
                 shingles = _set(packed)
@@ -282,7 +293,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _slices(batches):
         sets = [_set(packed).view("<i8") for packed in batch.column("shingles")]
         bounds = np.cumsum([0, *map(len, sets)], dtype=np.int32)
         flat = pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64))
@@ -313,8 +324,8 @@ def to_few(sets: DataFrame, pivots: list[tuple[int, np.ndarray]], percent: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         distinct, low = np.unique(every, return_index=True)
         high = np.append(low[1:], len(every))
-        for batch in batches:
-            out: list[list] = [[], [], [], []]
+        for batch in _slices(batches):
+            out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(4)]
             for set_id, packed in zip(batch.column("id").to_pylist(), batch.column("shingles"), strict=True):
                 shingles = _set(packed)
                 if not len(distinct) or not len(shingles):
@@ -328,9 +339,9 @@ def to_few(sets: DataFrame, pivots: list[tuple[int, np.ndarray]], percent: int)
                 common = np.bincount(owners[places], minlength=len(ids))
                 joint = sizes + len(shingles) - common
                 near = np.flatnonzero((100 * common >= percent * joint) & (common > 0))
-                for values, more in zip(out, ([set_id] * len(near), ids[near], common[near], joint[near]), strict=True):
-                    values += list(more)
-            yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in out], ["id", "pivot", "common", "joint"])
+                for values, more in zip(out, (np.full(len(near), set_id), ids[near], common[near], joint[near]), strict=True):
+                    values.append(more)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v), pa.int64()) for v in out], ["id", "pivot", "common", "joint"])
 
     return sets.select("id", "shingles").mapInArrow(run, "id bigint, pivot bigint, common bigint, joint bigint")
 
