@@ -372,7 +372,8 @@ def links(
     edges, level, left = None, pivots, rest.count()
     while left:
         if level >= left and level > pivots:  # every set that is left is a pivot: its links are links to pivots
-            firsts = kept(_between(first_shingles(rest, order, percent), edges), "jaccard-firsts")
+            firsts = kept(first_shingles(rest, order, percent), "jaccard-firsts")
+            firsts = kept(_between(firsts, edges), "jaccard-between")
             sides = (firsts.withColumnRenamed("root", f"root_{side}") for side in "ab")
             pairs = verified(met(*sides, percent, where=F.col("root_a") != F.col("root_b"), same=True), sets, percent)
             return _more(edges, pairs.select("a", "b"))
@@ -396,7 +397,7 @@ def _without(sets: DataFrame, gone: DataFrame | None) -> DataFrame:
 
 
 def _small(ids: DataFrame) -> DataFrame:
-    """Ids for a join with the sets: sent to every task up to 8 MB of them, else the join is Spark's to choose."""
+    """Ids for a join with larger tables: sent to every task up to 8 MB of them (16 with roots), else the join is Spark's to choose."""
     return F.broadcast(ids) if ids.count() <= HOT_SHINGLES else ids
 
 
@@ -468,11 +469,12 @@ def _between(firsts: DataFrame, edges: DataFrame | None) -> DataFrame:
     Sets that are tied need no comparison, so what a group of near copies has to itself makes no pairs.
     """
     if edges is None:
-        return firsts.withColumn("root", F.col("id"))
-    tied = kept(components(edges), "jaccard-tied").select(F.col("node").alias("id"), "root")
-    firsts = kept(firsts.join(tied, "id", "left").withColumn("root", F.coalesce("root", "id")), "jaccard-rooted")
-    mixed = firsts.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    return firsts.join(mixed.select("shingle"), "shingle", "left_semi")
+        rooted = firsts.withColumn("root", F.col("id"))
+    else:
+        tied = kept(components(edges), "jaccard-tied").select(F.col("node").alias("id"), "root")
+        rooted = firsts.join(_small(tied), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    mixed = rooted.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    return rooted.join(_small(kept(mixed.select("shingle"), "jaccard-mixed")), "shingle", "left_semi")
 
 
 def similar_documents(
