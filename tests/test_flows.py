@@ -8,7 +8,9 @@ from conftest import SF_DIR, explained, rows
 
 from tidemark import jobs
 from tidemark.functions import utc_date
-from tidemark.operators.quarantine import split_malformed
+from pyspark.sql import functions as F
+
+from tidemark.operators.quarantine import release, split_malformed
 from tidemark.operators.staging import stage, stamp_ingested_at, strip_metadata
 from tidemark.plans import loads, marts
 from tidemark.plans.queries import QUERIES
@@ -66,6 +68,23 @@ def test_bad_text_fails_staging_and_is_quarantined_otherwise(spark):
     assert rows(bad.select("transaction_id", "quarantine_reason")) == [("2", "amount,timestamp")]
 
 
+def test_corrected_rows_are_released_once(spark):
+    raw = union(
+        transaction(spark, 1, 1, "2024-01-01", "2024-01-01"),
+        transaction(spark, 2, 1, "2024-01-01", "2024-01-01", "x"),
+        transaction(spark, 3, 1, "2024-01-01", "oops", "y"),
+        transaction(spark, 4, 1, "2024-01-01", "2024-01-01", "z").withColumn("_airbyte_raw_id", F.lit(None).cast("string")),
+    )
+    good, bad = split_malformed(raw, TRANSACTIONS)
+    fixes = [("2-1", 1, "still x"), ("2-1", 2, "5.00"), ("3-1", 1, "6.00"), ("9-1", 1, "7.00"), (None, 1, "8.00")]
+    corrections = spark.createDataFrame(fixes, "_airbyte_raw_id string, turn int, amount string")
+    released, left = release(bad, corrections, good, TRANSACTIONS, "turn")
+    assert rows(released.selectExpr("transaction_id", "cast(amount as double)")) == [(2, 5.0)]
+    assert sorted(rows(left.select("transaction_id", "quarantine_reason"))) == [("3", "timestamp"), ("4", "amount")]
+    again, still = release(bad, corrections, good.unionByName(released), TRANSACTIONS, "turn")
+    assert again.isEmpty() and sorted(rows(still.select("transaction_id"))) == [("3",), ("4",)]
+
+
 def test_strip_and_stamp(spark):
     raw = account(spark, 1, 1)
     stripped = strip_metadata(raw)

@@ -459,6 +459,18 @@ BODIES = {
     select 'bad', concat_ws(',', case when to_account = 'unknown' then 'to_account' end,
                                  case when amount = 'n/a' then 'amount' end) as reason, count(*), null
     from broken_transactions where amount = 'n/a' or to_account = 'unknown' group by reason""",
+    "quarantine_release": """
+    select 'released' as verdict, "type" as item, count(*) as row_count,
+        cast(sum(case when to_account = 'unknown' then 7 else cast(nullif(to_account, 'unknown') as bigint) end) as bigint) as account_sum
+    from broken_transactions
+    where (amount = 'n/a' or to_account = 'unknown')
+        and (to_account is distinct from 'unknown' or cast(transaction_id as bigint) % 2 = 0)
+    group by "type"
+    union all
+    select 'left', 'to_account', count(*), null from broken_transactions
+    where to_account = 'unknown' and cast(transaction_id as bigint) % 2 <> 0 having count(*) > 0
+    union all
+    select 'again', 'all', 0, null""",
 }
 
 ORACLES = {name: _with(body) for name, body in BODIES.items()}
