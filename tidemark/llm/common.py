@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -18,6 +19,7 @@ from tidemark.workspace import new_run
 
 #: Bytes of text that one numpy pass takes at a time.
 PIECE = 1 << 20
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
@@ -33,6 +35,21 @@ def find_package(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs that run meanwhile hand at most ``rows`` rows at a time to Python workers.
+
+    A batch lies whole in Arrow's buffers outside the heap, in the JVM and in the worker, and Spark's 10,000 rows of
+    long texts or sets are many megabytes. The session's own setting returns afterwards.
+    """
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, rows if int(before) <= 0 else min(rows, int(before)))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

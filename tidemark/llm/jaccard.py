@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import column
-from tidemark.llm.common import kept, table, utf8
+from tidemark.llm.common import kept, small_batches, table, utf8
 from tidemark.llm.components import components
 
 WIDTH = 4
@@ -486,13 +486,14 @@ def similar_documents(
     found = rows.mapInArrow(_sets_of(width), f"doc_id {kind}, id bigint, n int, shingles binary")
     keys = {"key1": F.xxhash64(F.lit(1), "shingles"), "key2": F.xxhash64("shingles", F.lit(2))}
     # The ids are stored together with the sets, so no later job can number them anew.
-    sets = kept(found.withColumns(keys), "jaccard-sets")
-    some = sets.where("n > 0")
-    firsts = some.groupBy("key1", "key2").agg(F.min("id").alias("first"))
-    of_row = kept(some.select("doc_id", "id", "n", "key1", "key2").join(firsts, ["key1", "key2"]).select("doc_id", "id", "n", "first"), "jaccard-rows")
-    copies = of_row.where("id <> first").select("id")
-    edges = kept(links(some, percent, pivots, growth, hot, copies), "jaccard-links")
-    roots = kept(components(edges), "jaccard-roots").select(F.col("node").alias("first"), "root")
+    with small_batches(docs.sparkSession, SLICE):
+        sets = kept(found.withColumns(keys), "jaccard-sets")
+        some = sets.where("n > 0")
+        firsts = some.groupBy("key1", "key2").agg(F.min("id").alias("first"))
+        of_row = kept(some.select("doc_id", "id", "n", "key1", "key2").join(firsts, ["key1", "key2"]).select("doc_id", "id", "n", "first"), "jaccard-rows")
+        copies = of_row.where("id <> first").select("id")
+        edges = kept(links(some, percent, pivots, growth, hot, copies), "jaccard-links")
+        roots = kept(components(edges), "jaccard-roots").select(F.col("node").alias("first"), "root")
 
     placed = kept(of_row.join(roots, "first", "left").withColumn("root", F.coalesce("root", "first")), "jaccard-placed")
     least = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
