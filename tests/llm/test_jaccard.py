@@ -5,6 +5,7 @@ import sys
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from frames import ODD, crowded, empty_documents, odd_documents
 from test_tables import SF, roots
 
 from tidemark.llm import jaccard
+from tidemark.llm.common import small_batches
 from tidemark.llm.queries import QUERIES
 
 
@@ -157,6 +159,28 @@ def test_shingles_of_one_tied_group_make_no_pairs(spark):
     assert {r.shingle for r in jaccard._between(firsts, None).collect()} == {70, 71}  # 72 has one owner, so no pair
 
 
+def test_hot_shingles_are_told_from_one_tied_group_as_others_are(spark):
+    rows = [(s, s % 3 == 0, i, 9) for s in range(40) for i in range(s % 4 + 1)]
+    firsts = spark.createDataFrame(rows, "shingle bigint, hot boolean, id bigint, n int")
+    for edges in (None, spark.createDataFrame([(0, 1), (2, 3)], "a bigint, b bigint")):
+        plain, marked = (sorted(map(tuple, jaccard._between(df, edges).select("shingle", "id", "n", "root").collect())) for df in (firsts.drop("hot"), firsts))
+        assert marked == plain and plain
+
+
+def test_first_shingles_know_the_hot_ones(spark):
+    sets = spark.createDataFrame([(1, 8, np.arange(8, dtype="<u8").tobytes())], "id bigint, n int, shingles binary")
+    found = jaccard.first_shingles(sets, np.array([0, 2, 3, 4, 5, 6, 7], np.uint64), 50).collect()
+    assert [(r.shingle, r.hot) for r in found] == [(1, False), (7, True), (6, True), (5, True), (4, True)]  # the hottest, 0, comes last
+
+
+def test_batches_are_small_only_while_asked_for(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    with small_batches(spark, 3):
+        sizes = spark.range(10, numPartitions=1).mapInArrow(lambda batches: (pa.record_batch({"n": [b.num_rows]}) for b in batches), "n bigint").collect()
+    assert [r.n for r in sizes] == [3, 3, 3, 1] and spark.conf.get(name) == before
+
+
 def test_guests_are_settled_as_pivots_without_pairs_of_shingles(spark, monkeypatch):
     """Copies around a text that is no pivot: each is a guest of each pivot, and none has to be met by shingles."""
     rng = np.random.default_rng(2)

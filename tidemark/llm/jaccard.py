@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import column
@@ -231,36 +231,39 @@ class Order:
         self.heat = np.empty(len(hot), np.int64)
         self.heat[np.searchsorted(self.by_hash, hot)] = len(hot) - np.arange(len(hot))
 
-    def of(self, shingles: np.ndarray) -> np.ndarray:
-        """Places that put sorted shingles in order."""
+    def of(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places that put sorted shingles in order, and which shingles are hot."""
         if not len(self.by_hash):
-            return np.arange(len(shingles))
+            return np.arange(len(shingles)), np.zeros(len(shingles), bool)
         at = np.minimum(np.searchsorted(self.by_hash, shingles), len(self.by_hash) - 1)
         heat = np.where(self.by_hash[at] == shingles, self.heat[at], 0)
-        return np.argsort(heat, kind="stable")
+        return np.argsort(heat, kind="stable"), heat > 0
 
 
 # --- pairs by common first shingles ------------------------------------------------------------------
 
 
 def first_shingles(sets: DataFrame, hot: np.ndarray, percent: int, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(``shingle``, ``id``, ``n``, ``keep``): of each set the first ones in order, as many as a partner at ``percent`` must meet."""
+    """(``shingle``, ``hot``, ``id``, ``n``, ``keep``): of each set the first ones in order, as many as a partner at ``percent`` must meet."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = Order(hot)
         for batch in _slices(batches):
-            found, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            found, often, rows = [np.zeros(0, np.uint64)], [np.zeros(0, bool)], [np.zeros(0, np.int64)]
             for i, packed in enumerate(batch.column("shingles")):
                 shingles = _set(packed)
                 count = len(shingles) - -(-percent * len(shingles) // 100) + 1
                 if len(shingles):
-                    found.append(shingles[order.of(shingles)[:count]])
+                    places, is_hot = order.of(shingles)
+                    found.append(shingles[places[:count]])
+                    often.append(is_hot[places[:count]])
                     rows.append(np.full(count, i))
             picked = batch.select(["id", "n", *keep]).take(pa.array(np.concatenate(rows)))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), *picked.columns], ["shingle", "id", "n", *keep])
+            firsts = [pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(often))]
+            yield pa.RecordBatch.from_arrays([*firsts, *picked.columns], ["shingle", "hot", "id", "n", *keep])
 
     kinds = "".join(f", {c} {sets.schema[c].dataType.simpleString()}" for c in keep)
-    return sets.select("id", "n", "shingles", *keep).mapInArrow(run, "shingle bigint, id bigint, n int" + kinds)
+    return sets.select("id", "n", "shingles", *keep).mapInArrow(run, "shingle bigint, hot boolean, id bigint, n int" + kinds)
 
 
 def met(left: DataFrame, right: DataFrame, percent: int, by: tuple[str, ...] = (), where: Column | None = None, same: bool = False) -> DataFrame:
@@ -269,6 +272,7 @@ def met(left: DataFrame, right: DataFrame, percent: int, by: tuple[str, ...] = (
     Behind the first shingles of n there are at most ceil(percent * n) - 1 more that can be common, so the number
     of common first ones has a lower bound. ``same``: both sides are one table, and each pair comes once.
     """
+    left, right = (side.drop("hot") for side in (left, right))
     both = left.withColumnsRenamed({"id": "a", "n": "n_a"}).join(right.withColumnsRenamed({"id": "b", "n": "n_b"}), ["shingle", *by])
     both = both.where("a < b" if same else "a <> b")
     both = both.where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
@@ -466,15 +470,22 @@ def _facing(members: DataFrame, guests: DataFrame, reach: float) -> tuple[DataFr
 def _between(firsts: DataFrame, edges: DataFrame | None) -> DataFrame:
     """First shingles (``shingle``, ``id``, ``n``) with the ``root`` that ``edges`` tie each set to, of shingles that more than one root has.
 
-    Sets that are tied need no comparison, so what a group of near copies has to itself makes no pairs.
+    Sets that are tied need no comparison, so what a group of near copies has to itself makes no pairs. Shingles that
+    are not ``hot`` have few rows each and are told within their groups, after one shuffle; the hot ones are a bounded
+    list, summed before the shuffle, and those of several roots are sent to every task.
     """
     if edges is None:
         rooted = firsts.withColumn("root", F.col("id"))
     else:
         tied = kept(components(edges), "jaccard-tied").select(F.col("node").alias("id"), "root")
         rooted = firsts.join(_small(tied), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    mixed = rooted.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    return rooted.join(_small(kept(mixed.select("shingle"), "jaccard-mixed")), "shingle", "left_semi")
+    is_hot = F.col("hot") if "hot" in firsts.columns else F.lit(False)
+    ends, group = {"low": F.min("root"), "high": F.max("root")}, Window.partitionBy("shingle")
+    seldom = rooted.where(~is_hot).withColumns({k: end.over(group) for k, end in ends.items()}).where("low < high")
+    often = rooted.where(is_hot)
+    mixed = often.groupBy("shingle").agg(*(end.alias(k) for k, end in ends.items())).where("low < high")
+    often = often.join(_small(kept(mixed.select("shingle"), "jaccard-mixed")), "shingle", "left_semi")
+    return seldom.select("shingle", "id", "n", "root").unionByName(often.select("shingle", "id", "n", "root"))
 
 
 def similar_documents(
