@@ -218,6 +218,24 @@ def test_pairs_keep_words_and_expectation():
     assert sums / 4000 == pytest.approx(wanted, abs=0.03)
 
 
+def test_mix_of_many_sources_has_no_group_with_all_of_them(spark, monkeypatch):
+    frame = spark.range(3_000).selectExpr("id as doc_id", "concat('s', id % 1000) as source", "repeat('w ', cast(1 + id % 7 as int)) as text")
+    groups = []
+    monkeypatch.setattr(mixing, "_climbed", lambda *args, climbed=mixing._climbed: groups.append(climbed(*args)) or groups[-1])
+    rows = mixing.mix(frame, bucket_rows=64, fan_in=4).collect()
+    assert len(groups) > 1
+    for group in groups:
+        assert group.groupBy("slot", "bucket").agg(F.countDistinct("share").alias("n")).agg(F.max("n")).first()[0] == 1
+        assert group.groupBy("bucket", "share").count().agg(F.max("count")).first()[0] <= 2 * 64
+    taken, largest = {}, {}
+    for r in rows:
+        taken[r.source] = taken.get(r.source, 0) + r.size * (r.base + r.extra)
+        largest[r.source] = max(largest.get(r.source, 0), r.size)
+    assert all(abs(taken[r.source] - r.target) <= largest[r.source] for r in rows)
+    again = {(r.doc_id, r.extra) for r in mixing.mix(frame, bucket_rows=64, fan_in=4).collect()}
+    assert again == {(r.doc_id, r.extra) for r in rows}
+
+
 def test_mix_of_odd_rows(spark, tmp_path):
     odd = crowded(odd_documents(spark))
     rows = mixing.op2_source_mix(spark, documents_dir(odd, tmp_path / "odd")).collect()

@@ -124,6 +124,13 @@ def test_language_of_held_out_documents(spark, docs):
     assert np.mean([r.accepted for r in rows]) > 0.98
 
 
+def test_the_sample_of_many_languages_is_bounded(spark):
+    docs = spark.range(2_000).selectExpr("id as doc_id", "concat('l', id % 50) as lang", "'some text' as text")
+    sizes = {r["lang"]: r["count"] for r in language.training_sample(docs, most=200).groupBy("lang").count().collect()}
+    assert set(sizes.values()) == {4} and len(sizes) == 50
+    assert language.training_sample(docs, most=10).count() == 50
+
+
 def test_language_of_odd_rows(spark, tmp_path):
     rows = language.op5_language_id(spark, documents_dir(crowded(odd_documents(spark)), tmp_path / "odd")).collect()
     unknown = {r.doc_id for r in rows if r.lang_pred == "und"}

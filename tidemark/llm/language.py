@@ -30,6 +30,10 @@ from tidemark.llm.common import fresh, kept, pieces, table, utf8
 BITS = 16
 WIDTH = 16
 PER_LANGUAGE = 1_000
+#: Rows of all languages together that the learning task gets, as long as there are fewer languages than that.
+SAMPLE_ROWS = 64_000
+#: Languages whose row counts are sent to every task; the model itself has 2**BITS weights for each.
+SENT_COUNTS = 10_000
 BATCH = 16
 REJECT_SHARE = 0.001
 FOLDS, HELD_OUT = 3, 1
@@ -217,17 +221,21 @@ def predict(docs: DataFrame, model: Model, text: str = "text", names: tuple[str,
     return rows.mapInArrow(run, schema)
 
 
-def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """Documents with a language outside the held-out fold, ``per_language`` of each at the most."""
+def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE, most: int = SAMPLE_ROWS) -> DataFrame:
+    """Documents with a language outside the held-out fold, ``per_language`` of each and ``most`` of all at the most.
+
+    With more languages than fit in ``most`` rows there is one document of each.
+    """
     ids = docs.where("doc_id is not null and lang is not null and text is not null").where(
         F.crc32(F.col("doc_id").cast("string")) % FOLDS != HELD_OUT
     )
-    # Hashes below twice the share that is wanted leave a bounded number of rows of each language to rank, however
+    # Hashes below twice the share that is wanted, and some rows more, leave a bounded number of rows of each language to rank, however
     # many it has; the rank then picks the first of them.
     ids = ids.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 40)).alias("draw"))
-    counts = ids.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("n"))
-    # One row a class of the model, which itself goes to every task with far more for each class.
-    few = ids.join(F.broadcast(counts), F.col("lang") == F.col("of")).where(F.col("draw").cast("double") * F.col("n") < F.lit(2.0 * per_language * (1 << 40)))
+    counts = kept(ids.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("n")), "language-counts")
+    languages = counts.count()
+    per_language = max(1, min(per_language, most // max(1, languages)))
+    few = ids.join(F.broadcast(counts) if languages <= SENT_COUNTS else counts, F.col("lang") == F.col("of")).where(F.col("draw").cast("double") * F.col("n") < F.lit((2.0 * per_language + 20) * (1 << 40)))
     order = Window.partitionBy("lang").orderBy("draw", "doc_id")
     ids = few.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
     ids = kept(ids.select("doc_id", "lang").dropDuplicates(["doc_id"]), "language-ids")

@@ -6,9 +6,10 @@ the fractions of two documents until one of them is 0 or 1, so that each documen
 and the pair its words. The other goes on to the next pair. Documents are dealt to buckets by hash; each
 bucket leaves at most one open document a source, and these meet in a tree of fixed fan-in, level by level,
 until one is left for each source. That last one is rounded by its fraction: a source is off its target by
-less than one document.
+less than one document. Where sources are so many that their open documents would fill a group, each bucket of
+the upper levels is split by a hash of the source, whose documents stay together.
 
-Random numbers come from a seed, level and bucket, and documents in a bucket are ordered by their hashes, so
+Random numbers come from a seed, level and group, and documents in a group are ordered by their hashes, so
 reruns agree.
 
 Defined cases: null and empty texts have size 0 and are never taken, and a source that has no others has target
@@ -89,11 +90,17 @@ def pair_off(rows: pd.DataFrame, rng: np.random.Generator) -> pd.DataFrame:
 def _level(seed: int, level: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["slot", "key1", "key2"], kind="stable")
-        return pair_off(rows, np.random.default_rng([seed, level, int(rows["bucket"].iloc[0])]))
+        group = [int(rows[name].iloc[0]) for name in ("bucket", "share")]
+        return pair_off(rows, np.random.default_rng([seed, level, *group[: 1 + (group[1] > 0)]]))
 
     return run
 
 
+def _climbed(open_rows: DataFrame, fan_in: int, shares: int) -> DataFrame:
+    """Open rows, one a source of each bucket, in the groups of the next level: about ``sources * fan_in / shares`` in each."""
+    return open_rows.withColumns({"bucket": F.floor(F.col("bucket") / fan_in).cast("bigint"), "share": F.pmod(F.xxhash64("slot"), F.lit(shares))})
+
+
 def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", bucket_rows: int = BUCKET_ROWS, fan_in: int = FAN_IN, seed: int = SEED) -> DataFrame:
     """One row for each set of repeated rows: keys, ``doc_id``, ``size``, ``n_rows``, ``source_size``, ``target``,
     ``base`` copies of each row, and ``extra``, the number of rows that get one copy more."""
@@ -115,18 +122,19 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     buckets = max(1, -(-units.count() // bucket_rows))
     slot = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit(""))
     open_rows = units.where("fraction > 0").select(slot.alias("slot"), "key1", "key2", F.col("size"), "fraction")
-    open_rows = open_rows.withColumn("bucket", F.pmod(F.xxhash64("key1", "key2"), F.lit(buckets)))
+    open_rows = open_rows.withColumns({"bucket": F.pmod(F.xxhash64("key1", "key2"), F.lit(buckets)), "share": F.lit(0).cast("bigint")})
+    shares = max(1, -(-of_source.count() * fan_in // bucket_rows))
     settled, level = [], 0
     while True:
         schema = open_rows.schema
-        rounded = kept(open_rows.groupBy("bucket").applyInPandas(_level(seed, level), schema), "rounded")
+        rounded = kept(open_rows.groupBy("bucket", "share").applyInPandas(_level(seed, level), schema), "rounded")
         still = (F.col("fraction") > 0) & (F.col("fraction") < 1)
         settled.append(rounded.where(~still).select("key1", "key2", F.col("fraction").cast("bigint").alias("one")))
         open_rows = rounded.where(still)
         if buckets == 1:
             break
         buckets, level = -(-buckets // fan_in), level + 1
-        open_rows = open_rows.withColumn("bucket", F.floor(F.col("bucket") / fan_in).cast("bigint"))
+        open_rows = _climbed(open_rows, fan_in, shares)
     # One open document a source at most: its fraction is its chance.
     draw = F.pmod(F.xxhash64("key1", "key2", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     settled.append(open_rows.select("key1", "key2", (draw < F.col("fraction")).cast("bigint").alias("one")))
