@@ -111,6 +111,24 @@ def test_an_upsert_reads_only_files_that_may_hold_its_keys(spark, settings, tmp_
     assert table.upsert(spark.range(5).selectExpr("id + 2000000 as k", "date'2023-01-05' as day", "'more' as v")).rewritten == ()
 
 
+def test_as_many_keys_as_files_have_rows_are_not_looked_up_for_each_file(spark, settings, tmp_path, monkeypatch):
+    settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB", spark__sql__adaptive__coalescePartitions__minPartitionSize="1KB", spark__sql__shuffle__partitions="64")
+    table = VersionedTable(spark, str(tmp_path / "t"), "k", "day")
+    table.replace(spark.range(0, 20_000, 1, 4).selectExpr("(id * 7919) % 1000003 as k", "date_add(date'2023-01-01', cast(id % 40 as int)) as day", "uuid() as v"))
+    head = table.head()
+    changed = table.read([datetime.date(2023, 1, 3)]).select("k", "day", F.lit("new").alias("v"))
+    added = spark.range(10_000).selectExpr("id * 100 + 1000003 * (id % 2) as k", "date'2023-01-03' as day", "'added' as v")
+    delta = changed.unionByName(added.join(table.read(), "k", "left_anti"))
+    holding = table.read().select("k", F.col("_metadata.file_name").alias("name")).join(delta, "k", "left_semi").select("name").distinct().count()
+    asked = []
+    monkeypatch.setattr(versioned, "read_parquet", lambda spark, *paths, read=versioned.read_parquet, **options: asked.extend(paths) or read(spark, *paths, **options))
+    keys = delta.select("k")
+    assert set(table.may_hold(head, keys)) == set(head.files) and rows(table.rows_of(keys)) == rows(table.read().join(keys, "k", "left_semi"))
+    assert len(table.upsert(delta).rewritten) == holding < len(head.files) / 2
+    assert not [p for p in asked if f"{table.path}/index" in p]
+    assert table.read().where("v = 'new'").count() == 500 and table.read().count() == 20_000 + delta.where("v = 'added'").count()
+
+
 def test_days_open_their_files_only(spark, settings, tmp_path):
     settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB", spark__sql__adaptive__coalescePartitions__minPartitionSize="1KB", spark__sql__shuffle__partitions="64")
     table = VersionedTable(spark, str(tmp_path / "t"), "k", "day")

@@ -226,12 +226,16 @@ class VersionedTable:
         return stored.join(keys, self.key, "left_semi").select(*[column(c) for c in manifest.struct.names])
 
     def may_hold(self, manifest: Manifest, keys: DataFrame) -> list[DataFile]:
-        """Files that the index cannot rule out for any of the keys."""
+        """Files that the index cannot rule out for any of the keys.
+
+        Looking up each key for each file pays only as long as that is less than the files hold: filters rule nothing
+        out for as many keys as a file has rows, so the work would grow with keys times files and gain nothing.
+        """
         name = column(self.key)
-        low, high = keys.agg(F.min(name), F.max(name)).first()
+        low, high, asked = keys.agg(F.min(name), F.max(name), F.count(name)).first()
         near = [f for f in manifest.files if low is not None and f.least_key is not None and not (f.greatest_key < low or f.least_key > high)]
-        if not near:
-            return []
+        if not near or asked * len(near) >= sum(f.rows for f in near):
+            return near
         runs = sorted({f.path.split("/")[1] for f in near})
         index = read_parquet(self.spark, *[f"{self.path}/index/{run}" for run in runs], schema=_INDEX)
         # Filters have as many bitmaps as their file needs; a key is looked up once for each such number.
@@ -272,9 +276,10 @@ class VersionedTable:
         sizes = self.spark.createDataFrame([(f.path.rsplit("/", 1)[-1], f.buckets) for f in files], "__name string, buckets int")
         keyed = written.where(column(self.key).isNotNull()).select(column(self.key).alias("key"), F.col("_metadata.file_name").alias("__name"))
         placed = keyed.join(F.broadcast(sizes), "__name")  # one line for each file, which the driver has at hand
-        bits = F.explode(F.array(*[_bit(F.col("key"), i) for i in range(HASHES)])).alias("bit")
-        spread = placed.select("__name", "buckets", _bucket(F.col("key"), F.col("buckets")).alias("bucket"), bits)
-        filters = spread.groupBy("__name", "buckets", "bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+        spread = placed.select("__name", "buckets", _bucket(F.col("key"), F.col("buckets")).alias("bucket"), *[_bit(F.col("key"), i).alias(f"bit{i}") for i in range(HASHES)])
+        # One bitmap for each hash first: keys are sorted once, not once for each of their bits.
+        parts = spread.groupBy("__name", "buckets", "bucket").agg(F.array(*[F.bitmap_construct_agg(f"bit{i}") for i in range(HASHES)]).alias("parts"))
+        filters = parts.select("__name", "buckets", "bucket", F.explode("parts").alias("part")).groupBy("__name", "buckets", "bucket").agg(F.bitmap_or_agg("part").alias("bits"))
         overwrite_path(filters.select(F.concat(F.lit(f"{run}/"), "__name").alias("file"), "buckets", "bucket", "bits"), f"{self.path}/index/{run}")
 
     # --- publishing ------------------------------------------------------------------------------------
