@@ -173,6 +173,44 @@ def test_first_shingles_know_the_hot_ones(spark):
     assert [(r.shingle, r.hot) for r in found] == [(1, False), (7, True), (6, True), (5, True), (4, True)]  # the hottest, 0, comes last
 
 
+def packed_sets(spark, sets):
+    rows = [(i, len(s), np.sort(np.array(s, "<u8")).tobytes()) for i, s in enumerate(sets)]
+    return spark.createDataFrame(rows, "id bigint, n int, shingles binary")
+
+
+def test_near_copies_that_are_not_near_enough_do_not_meet(spark):
+    """200 sets of 60: each has 8 shingles to itself and nearly all of a common base, so none are similar by 85 %."""
+    sets = packed_sets(spark, [[*range(1_000 * i + 100, 1_000 * i + 108), *(x for x in range(1, 55) if x not in (i % 54 + 1, i // 54 + 1))][:60] for i in range(200)])
+    firsts = jaccard.first_shingles(sets, np.arange(54, 0, -1).astype(np.uint64), 85)
+    assert firsts.where("hot").count() >= 400  # the base's shingles come last, but some are among the first
+    assert jaccard.meetings(firsts, firsts, 85, same=True).count() == 0
+
+
+def test_similar_sets_meet_often_enough(spark):
+    """Pairs of all sizes at the bound or a little beside it, their own shingles in front, behind or between."""
+    rng, sets, expected = np.random.default_rng(3), [], set()
+    for _ in range(150):
+        n = int(rng.integers(1, 300))
+        own = [int(rng.integers(0, n // 8 + 1)) for _ in "ab"]
+        pool = rng.choice(1 << 20, n + sum(own), replace=False) + (len(sets) << 20)
+        pair = [np.concatenate([pool[: n], pool[n : n + own[0]]]), np.concatenate([pool[: n], pool[n + own[0] :]])]
+        if 100 * n >= 85 * (n + sum(own)):
+            expected.add((len(sets), len(sets) + 1))
+        sets += pair
+    sets = packed_sets(spark, sets)
+    firsts = jaccard.first_shingles(sets, np.zeros(0, np.uint64), 85)
+    found = {tuple(r) for r in jaccard.met(firsts, firsts, 85, same=True).collect()}
+    assert 30 < len(expected) < 140 and expected <= found
+
+
+def test_groups_that_no_pivot_reached_are_tied_by_their_least_member(spark):
+    """300 sets of 60 that share 58: all pairs are similar, but no more are made than there are first shingles."""
+    sets = packed_sets(spark, [[*range(1, 59), 1_000 + 2 * i, 1_001 + 2 * i] for i in range(300)])
+    firsts = jaccard.first_shingles(sets, np.arange(58, 0, -1).astype(np.uint64), 85)
+    left, edges = jaccard._starred(firsts, sets, None, 85)
+    assert left.count() == 0 and edges.count() == 299
+
+
 def test_batches_are_small_only_while_asked_for(spark):
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)

@@ -18,7 +18,8 @@ all its links. Pivots that are too many for a task's memory are found through co
 are near enough, the first shingles in one global order (hot ones last) must meet.
 
 Within regions and on the last level pairs are candidates if enough of those first shingles are common, and all
-are verified on whole sets; on the last level sets that are tied by then make no pairs. The result is exact: no pair within reach is left out unless both are tied already.
+are verified on whole sets; on the last level the owners of a shingle meet the least of them first, and sets that are
+tied by then make no pairs. The result is exact: no pair within reach is left out unless both are tied already.
 
 Shingles are 64-bit hashes of the words of a window, so set sizes and distances are exact up to collisions (one
 in 10**13 for a pair of long texts). Hot shingles only decide an order; any order gives the same result.
@@ -53,6 +54,8 @@ GROWTH = 256
 #: Shingles seen so often in one task's share come last in the global order; the list of them is bounded.
 HOT = 8
 HOT_SHINGLES = 1 << 20
+#: Pairs must have one in so many of their shingles, and one more, in common among the first.
+SOME = 50
 #: Rows whose sets a task holds at a time, and bytes of text whose words it hashes at a time.
 SLICE = 512
 PIECE = 1 << 18
@@ -244,12 +247,12 @@ class Order:
 
 
 def first_shingles(sets: DataFrame, hot: np.ndarray, percent: int, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(``shingle``, ``hot``, ``id``, ``n``, ``keep``): of each set the first ones in order, as many as a partner at ``percent`` must meet."""
+    """(``shingle``, ``hot``, ``place``, ``id``, ``n``, ``keep``): of each set the first ones in order, as many as a partner at ``percent`` must meet."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = Order(hot)
         for batch in _slices(batches):
-            found, often, rows = [np.zeros(0, np.uint64)], [np.zeros(0, bool)], [np.zeros(0, np.int64)]
+            found, often, rows, at = [np.zeros(0, np.uint64)], [np.zeros(0, bool)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
             for i, packed in enumerate(batch.column("shingles")):
                 shingles = _set(packed)
                 count = len(shingles) - -(-percent * len(shingles) // 100) + 1
@@ -258,31 +261,41 @@ def first_shingles(sets: DataFrame, hot: np.ndarray, percent: int, keep: tuple[s
                     found.append(shingles[places[:count]])
                     often.append(is_hot[places[:count]])
                     rows.append(np.full(count, i))
+                    at.append(np.arange(count, dtype=np.int32))
             picked = batch.select(["id", "n", *keep]).take(pa.array(np.concatenate(rows)))
-            firsts = [pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(often))]
-            yield pa.RecordBatch.from_arrays([*firsts, *picked.columns], ["shingle", "hot", "id", "n", *keep])
+            firsts = [pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(often)), pa.array(np.concatenate(at))]
+            yield pa.RecordBatch.from_arrays([*firsts, *picked.columns], ["shingle", "hot", "place", "id", "n", *keep])
 
     kinds = "".join(f", {c} {sets.schema[c].dataType.simpleString()}" for c in keep)
-    return sets.select("id", "n", "shingles", *keep).mapInArrow(run, "shingle bigint, hot boolean, id bigint, n int" + kinds)
+    return sets.select("id", "n", "shingles", *keep).mapInArrow(run, "shingle bigint, hot boolean, place int, id bigint, n int" + kinds)
 
 
-def met(left: DataFrame, right: DataFrame, percent: int, by: tuple[str, ...] = (), where: Column | None = None, same: bool = False) -> DataFrame:
-    """Pairs (``a``, ``b``) of first shingles' owners that may be similar by ``percent``.
+def meetings(left: DataFrame, right: DataFrame, percent: int, by: tuple[str, ...] = (), where: Column | None = None, same: bool = False) -> DataFrame:
+    """(``a``, ``b``, ``some``, ``by``): a row for each first shingle in which two owners that may be similar by ``percent`` meet.
 
-    Behind the first shingles of n there are at most ceil(percent * n) - 1 more that can be common, so the number
-    of common first ones has a lower bound. ``same``: both sides are one table, and each pair comes once.
+    Of the common shingles that such a pair needs, the first ``some`` stand, in both sets, before all but
+    ``needed - some`` others: only shingles at such a place are compared, and ``some`` of them must be common. So what
+    near copies share behind the shingles they have to themselves makes no rows. ``same``: both sides are one table,
+    and each pair comes once.
     """
     left, right = (side.drop("hot") for side in (left, right))
-    both = left.withColumnsRenamed({"id": "a", "n": "n_a"}).join(right.withColumnsRenamed({"id": "b", "n": "n_b"}), ["shingle", *by])
+    both = left.withColumnsRenamed({"id": "a", "n": "n_a", "place": "place_a"}).join(right.withColumnsRenamed({"id": "b", "n": "n_b", "place": "place_b"}), ["shingle", *by])
     both = both.where("a < b" if same else "a <> b")
     both = both.where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    # common / (n_a + n_b - common) >= percent / 100
+    needed = f"({percent} * (n_a + n_b) + {99 + percent}) div {100 + percent}"
+    # The stored first shingles reach for needed - (ceil(percent * n) - 1) common ones.
+    some = f"least({needed} - ((greatest(n_a, n_b) * {percent} + 99) div 100 - 1), 1 + least(n_a, n_b) div {SOME})"
+    both = both.where(f"place_a < n_a - {needed} + {some} and place_b < n_b - {needed} + {some}")
     if where is not None:
         both = both.where(where)
-    counted = both.groupBy("a", "b", "n_a", "n_b", *by).agg(F.count("*").alias("common"))
-    behind = F.expr(f"(greatest(n_a, n_b) * {percent} + 99) div 100 - 1")
-    # common / (n_a + n_b - common) >= percent / 100
-    needed = F.expr(f"({percent} * (n_a + n_b) + {99 + percent}) div {100 + percent}")
-    return counted.where(F.col("common") + behind >= needed).select("a", "b", *by)
+    return both.select("a", "b", F.expr(some).alias("some"), *by)
+
+
+def met(left: DataFrame, right: DataFrame, percent: int, by: tuple[str, ...] = (), where: Column | None = None, same: bool = False) -> DataFrame:
+    """Pairs (``a``, ``b``) of first shingles' owners that may be similar by ``percent``: those that meet often enough."""
+    counted = meetings(left, right, percent, by, where, same).groupBy("a", "b", "some", *by).agg(F.count("*").alias("common"))
+    return counted.where("common >= some").select("a", "b", *by)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -377,10 +390,8 @@ def links(
     while left:
         if level >= left and level > pivots:  # every set that is left is a pivot: its links are links to pivots
             firsts = kept(first_shingles(rest, order, percent), "jaccard-firsts")
-            firsts = kept(_between(firsts, edges), "jaccard-between")
-            sides = (firsts.withColumnRenamed("root", f"root_{side}") for side in "ab")
-            pairs = verified(met(*sides, percent, where=F.col("root_a") != F.col("root_b"), same=True), sets, percent)
-            return _more(edges, pairs.select("a", "b"))
+            firsts, edges = _starred(firsts, sets, edges, percent)
+            return _more(edges, _met_roots(firsts, firsts, sets, percent, same=True))
         if level == pivots:
             near = to_few(rest, few_pivots(rest, pivots, PIVOT_SHINGLES), wide)
         else:
@@ -467,6 +478,31 @@ def _facing(members: DataFrame, guests: DataFrame, reach: float) -> tuple[DataFr
     return members, guests.join(widest, "pivot").where(F.col("far") <= F.col("far_m") + slack).select("id", "pivot", "far")
 
 
+def _met_roots(left: DataFrame, right: DataFrame, sets: DataFrame, percent: int, same: bool = False) -> DataFrame:
+    """Links (``a``, ``b``) of sets that no link ties yet, by first shingles with their ``root``."""
+    sides = (side.withColumnRenamed("root", f"root_{x}") for x, side in (("a", left), ("b", right)))
+    pairs = met(*sides, percent, where=F.col("root_a") != F.col("root_b"), same=same)
+    return verified(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), sets, percent).select("a", "b")
+
+
+def _starred(firsts: DataFrame, sets: DataFrame, edges: DataFrame | None, percent: int) -> tuple[DataFrame, DataFrame | None]:
+    """First shingles of several roots, and the links, after the owners of each shingle have met its least owner alone.
+
+    That makes no more pairs than there are rows, and ties groups of near copies that no pivot has reached, whose
+    pairs need not be made then. It is repeated as long as it halves the pairs that are left.
+    """
+    before = None
+    while True:
+        firsts = kept(_between(firsts, edges), "jaccard-between")
+        owners = firsts.groupBy("shingle").agg(F.count("*").alias("owners"))
+        rows, pairs = owners.agg(F.sum("owners"), F.sum(F.expr("owners * (owners - 1) div 2"))).first()
+        if not rows or pairs <= rows or (before is not None and 2 * pairs > before):
+            return firsts, edges
+        before = pairs
+        least = firsts.join(firsts.groupBy("shingle").agg(F.min("id").alias("id")), ["shingle", "id"], "left_semi")
+        edges = kept(_more(edges, _met_roots(least, firsts, sets, percent)), "jaccard-edges")
+
+
 def _between(firsts: DataFrame, edges: DataFrame | None) -> DataFrame:
     """First shingles (``shingle``, ``id``, ``n``) with the ``root`` that ``edges`` tie each set to, of shingles that more than one root has.
 
@@ -478,14 +514,15 @@ def _between(firsts: DataFrame, edges: DataFrame | None) -> DataFrame:
         rooted = firsts.withColumn("root", F.col("id"))
     else:
         tied = kept(components(edges), "jaccard-tied").select(F.col("node").alias("id"), "root")
-        rooted = firsts.join(_small(tied), "id", "left").withColumn("root", F.coalesce("root", "id"))
+        rooted = firsts.drop("root").join(_small(tied), "id", "left").withColumn("root", F.coalesce("root", "id"))
     is_hot = F.col("hot") if "hot" in firsts.columns else F.lit(False)
     ends, group = {"low": F.min("root"), "high": F.max("root")}, Window.partitionBy("shingle")
     seldom = rooted.where(~is_hot).withColumns({k: end.over(group) for k, end in ends.items()}).where("low < high")
     often = rooted.where(is_hot)
     mixed = often.groupBy("shingle").agg(*(end.alias(k) for k, end in ends.items())).where("low < high")
     often = often.join(_small(kept(mixed.select("shingle"), "jaccard-mixed")), "shingle", "left_semi")
-    return seldom.select("shingle", "id", "n", "root").unionByName(often.select("shingle", "id", "n", "root"))
+    names = ["shingle", "id", "n", "root", *(c for c in ("hot", "place") if c in firsts.columns)]
+    return seldom.select(names).unionByName(often.select(names))
 
 
 def similar_documents(
